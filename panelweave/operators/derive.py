@@ -25,7 +25,7 @@ def add_sector(df: DataFrame, sectors: Iterable[Sector]) -> DataFrame:
     sectors = list(sectors)
     codes = {"pgnace": [(s.id, s.rev1) for s in sectors], "pgnace2": [(s.id, s.rev2) for s in sectors]}
     present = [c for c in codes if c in df.columns]
-    found = [C.category_of(F.col(c), codes[c]) for c in present]
+    found = [C.category_of(c, codes[c]) for c in present]
     return df.withColumn("sector", F.coalesce(*found, F.lit(None)).cast("int")).drop(*present)
 
 

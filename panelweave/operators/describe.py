@@ -13,7 +13,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelweave.fixed_values import MISSING_CODES
 from panelweave.functions import columns as C
 from panelweave.registry import Registry
 from panelweave.session import stage
@@ -21,55 +20,43 @@ from panelweave.session import stage
 FEW_CATEGORIES = 5
 
 
-def _clean(variable: str) -> Column:
-    return C.without_codes(F.col(variable).cast("double"))
-
-
-def _not_coded(variable: str) -> Column:
-    """Rows that are not a missing code; an empty answer is not one."""
-    return F.coalesce(~F.col(variable).cast("double").isin(*MISSING_CODES), F.lit(True))
-
-
-def _per_variable(df: DataFrame, variables: list[str], fields: dict, by: list[str]) -> DataFrame:
-    """Aggregate ``fields`` (name → function of a variable) for each variable; one row per variable (and group)."""
-    aggregates = [fn(v).alias(f"{name}|{v}") for v in variables for name, fn in fields.items()]
-    wide = (df.groupBy(*by) if by else df).agg(*aggregates)
-    rows = F.array(*[
-        F.struct(F.lit(v).alias("variable"), *[F.col(f"`{name}|{v}`").alias(name) for name in fields])
+def _per_variable(df: DataFrame, variables: list[str], fields: dict[str, str], by: list[str]) -> DataFrame:
+    """One row per variable (and group) with ``fields``: name → SQL aggregate of ``{v}`` or the cleaned ``{c}``."""
+    names = {v: (C.quoted(v), C.quoted(f"_clean {v}")) for v in variables}
+    cleaned = df.select("*", *[C.without_codes(v).alias(f"_clean {v}") for v in variables])
+    aggregates = [
+        F.expr(sql.format(v=raw, c=clean)).alias(f"{field} {v}")
+        for v, (raw, clean) in names.items() for field, sql in fields.items()
+    ]
+    wide = (cleaned.groupBy(*by) if by else cleaned).agg(*aggregates)
+    rows = ", ".join(
+        f"named_struct('variable', '{v}', "
+        + ", ".join(f"'{field}', {C.quoted(f'{field} {v}')}" for field in fields) + ")"
         for v in variables
-    ])
-    return wide.select(*by, F.inline(rows))
+    )
+    return wide.selectExpr(*by, f"inline(array({rows}))")
 
 
 def summarise(df: DataFrame, variables: Iterable[str]) -> DataFrame:
     """Valid n, mean, sample sd, min and max per variable."""
     fields = {
-        "n": lambda v: F.count(_clean(v)),
-        "mean": lambda v: F.avg(_clean(v)),
-        "sd": lambda v: F.stddev_samp(_clean(v)),
-        "min": lambda v: F.min(_clean(v)),
-        "max": lambda v: F.max(_clean(v)),
+        "n": "count({c})", "mean": "avg({c})", "sd": "stddev_samp({c})", "min": "min({c})", "max": "max({c})",
     }
     return _per_variable(df, list(variables), fields, [])
 
 
 def count_by_year(df: DataFrame, variables: Iterable[str]) -> DataFrame:
     """Valid n per variable and year; a year whose rows are all empty stays with n = 0."""
-    fields = {
-        "n": lambda v: F.count(_clean(v)),
-        "_rows": lambda v: F.count_if(_not_coded(v)),
-    }
+    fields = {"n": "count({c})", "_rows": "count_if({v} IS NULL OR {c} IS NOT NULL)"}
     known = df.filter(F.col("syear").isNotNull())
     return _per_variable(known, list(variables), fields, ["syear"]).filter("_rows > 0").drop("_rows")
 
 
 def category_counts(df: DataFrame, variables: Iterable[str]) -> DataFrame:
     """Valid n per variable and value, counted before the shuffle."""
-    variables = list(variables)
-    pairs = F.array(*[
-        F.struct(F.lit(v).alias("variable"), _clean(v).alias("value")) for v in variables
-    ])
-    long = df.select(*variables).select(F.inline(pairs)).filter("value IS NOT NULL")
+    cleaned = df.select(*[C.without_codes(v).alias(v) for v in variables])
+    pairs = ", ".join(f"named_struct('variable', '{v}', 'value', {C.quoted(v)})" for v in cleaned.columns)
+    long = cleaned.selectExpr(f"inline(array({pairs}))").filter("value IS NOT NULL")
     return long.groupBy("variable", "value").agg(F.count("*").alias("n"))
 
 
@@ -195,7 +182,7 @@ def quantiles(df: DataFrame, variable: str, at: tuple[float, ...] = (0.25, 0.5,
     spark = df.sparkSession
     schema = "q double, value double"
     counts = stage(
-        df.select(_clean(variable).alias("value")).filter("value IS NOT NULL")
+        df.select(C.without_codes(variable).alias("value")).filter("value IS NOT NULL")
         .groupBy("value").agg(F.count("*").alias("n")),
         "value-counts",
     )
@@ -263,7 +250,7 @@ def stats_by_year(df: DataFrame, variable: str) -> DataFrame:
     """Valid n, mean and sample sd of one variable per year, years without a valid value left out."""
     return (
         df.filter(F.col("syear").isNotNull())
-        .select("syear", _clean(variable).alias("value")).filter("value IS NOT NULL")
+        .select("syear", C.without_codes(variable).alias("value")).filter("value IS NOT NULL")
         .groupBy("syear")
         .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     )
@@ -271,7 +258,7 @@ def stats_by_year(df: DataFrame, variable: str) -> DataFrame:
 
 def missing_rate(df: DataFrame, variable: str) -> DataFrame:
     """Rows, valid and missing answers, missing in percent (null for an empty table)."""
-    counts = df.agg(F.count("*").alias("total"), F.count(_clean(variable)).alias("valid"))
+    counts = df.agg(F.count("*").alias("total"), F.count(C.without_codes(variable)).alias("valid"))
     missing = F.col("total") - F.col("valid")
     return counts.select(
         "total", "valid", missing.alias("missing"),

@@ -30,11 +30,9 @@ def clean_values(df: DataFrame, key: str) -> DataFrame:
     """Every non-key column to double, ids to whole numbers, missing codes to null."""
     cleaned = []
     for c, kind in df.dtypes:
-        value = C.numeric(F.col(c)) if kind == "string" else F.col(c).cast("double")
         target = "long" if c in ("pid", "hid") else "double"
-        cleaned.append(
-            F.col(c) if c in (key, "syear") else C.without_codes(value).cast(target).alias(c)
-        )
+        value = F.col(c) if c in (key, "syear") else C.clean(c, kind == "string").cast(target)
+        cleaned.append(value.alias(c))
     return df.select(cleaned)
 
 
@@ -152,7 +150,7 @@ def read_variable(spark: SparkSession, path: str, variable: str, key: str = "pid
     df = scan_csv(spark, path, [key, "syear", variable])
     if variable not in df.columns:
         return df
-    return df.withColumn(variable, C.without_codes(C.numeric(F.col(variable))))
+    return df.withColumn(variable, C.clean(variable))
 
 
 def states(spark: SparkSession) -> DataFrame:

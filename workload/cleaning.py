@@ -18,7 +18,7 @@ CODES_SQL = "(-8,-7,-6,-5,-4,-3,-2,-1)"
 
 @query("numeric_coerce", f"SELECT id, {VALUE_SQL} AS value FROM answers")
 def numeric_coerce(spark, sf_dir):
-    return frame(spark, sf_dir, "answers").select("id", C.numeric(F.col("answer")).alias("value"))
+    return frame(spark, sf_dir, "answers").select("id", C.numeric("answer").alias("value"))
 
 
 @query("sentinel_to_null", f"""
@@ -26,7 +26,7 @@ def numeric_coerce(spark, sf_dir):
     FROM (SELECT id, {VALUE_SQL} AS v FROM answers)""")
 def sentinel_to_null(spark, sf_dir):
     return frame(spark, sf_dir, "answers").select(
-        "id", C.without_codes(C.numeric(F.col("answer"))).alias("value")
+        "id", C.clean("answer").alias("value")
     )
 
 
@@ -35,11 +35,11 @@ def sentinel_to_null(spark, sf_dir):
            count(*) FILTER (WHERE v NOT IN {CODES_SQL}) AS valid, count(*) AS total
     FROM (SELECT syear, {VALUE_SQL} AS v FROM answers) GROUP BY syear""")
 def clean_count(spark, sf_dir):
-    value = C.numeric(F.col("answer"))
-    coded = F.coalesce(value.isin(*range(-8, 0)), F.lit(False))
-    return frame(spark, sf_dir, "answers").groupBy("syear").agg(
-        F.count_if(~coded).alias("kept"),
-        F.count(C.without_codes(value)).alias("valid"),
+    numbers = frame(spark, sf_dir, "answers").withColumn("value", C.numeric("answer"))
+    valid = C.without_codes("value")
+    return numbers.groupBy("syear").agg(
+        F.count_if(F.col("value").isNull() | valid.isNotNull()).alias("kept"),
+        F.count(valid).alias("valid"),
         F.count("*").alias("total"),
     )
 

@@ -5,15 +5,16 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from panelweave.estimation import report
-from panelweave.estimation.fit import ModelSpec, fit_models, gram
+from panelweave.estimation.fit import ModelSpec, fit_models, gram, null_log_lik
 from panelweave.fixed_values import ACTUAL, CONTROLS, TIME_VARYING, WILLING
+from panelweave.functions import columns as C
 from panelweave.operators import panel, sample
 from panelweave.operators.derive import treatment_dummies
 from panelweave.plans import suites
 from panelweave.session import stage
 from workload import inputs
 from workload.catalog import query, rounded
-from workload.frames import CONTROLS_SQL
+from workload.frames import CONTROLS_SQL, table
 
 # -- sums of squares and the within estimator -------------------------------------------
 
@@ -240,8 +241,6 @@ def _null_sql(name, source, outcome):
     _null_sql("Preference", "s1", WILLING), _null_sql("Realization", "s2", ACTUAL),
     _null_sql("Realization, all eligible", "s2full", ACTUAL)]))
 def null_loglik(spark, sf_dir):
-    from panelweave.estimation.fit import null_log_lik
-
     master = inputs.stored_master(spark, sf_dir)
     rows = []
     for name, design in (("Preference", sample.PREFERENCE), ("Realization", sample.REALIZATION),
@@ -260,9 +259,6 @@ def null_loglik(spark, sf_dir):
     FROM (SELECT CAST(o_orderpriority AS VARCHAR) AS stage, count(*) AS n,
                  count(*) FILTER (WHERE o_orderstatus = 'P') / (count(*) * 5.0) AS p FROM orders GROUP BY 1)""")
 def stars(spark, sf_dir):
-    from panelweave.functions import columns as C
-    from workload.frames import table
-
     by = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("stage")).agg(
         F.count("*").alias("n"), (F.count_if(F.col("o_orderstatus") == "P") / (F.count("*") * 5.0)).alias("p")
     )

@@ -207,7 +207,11 @@ SUBQUERIES = {
 
 def check_sql(select: str) -> str:
     """Full check text: the subqueries above, those of ``select`` itself, then its body."""
-    ctes = ",\n".join(f"{name} AS ({text})" for name, text in SUBQUERIES.items())
+    # read several times by some checks
+    kept = ("derived", "s1", "s2")
+    ctes = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in kept else ''}({text})" for name, text in SUBQUERIES.items()
+    )
     select = select.strip()
     more = select.startswith("WITH ")
     return f"WITH {ctes}{',' if more else ''}\n{select.removeprefix('WITH ')}"

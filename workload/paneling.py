@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from panelweave.fixed_values import CONTROLS, TIME_VARYING
+from panelweave.functions import columns as C
 from panelweave.operators import panel, ranges, sample
 from panelweave.operators.sample import analysis_sample
 from workload import inputs
@@ -51,11 +52,9 @@ def _ranges_sql(column, which):
 @query("range_collapse", f"{_ranges_sql('pgnace', 1)} UNION ALL {_ranges_sql('pgnace2', 2)}")
 def range_collapse(spark, sf_dir):
     """Industry codes people report, per sector and classification, as ranges."""
-    from panelweave.functions import columns as C
-
     seen = dataset(spark, sf_dir, "pgen")
-    rev1 = C.category_of(F.col("pgnace"), [(s.id, s.rev1) for s in REGISTRY.sectors])
-    rev2 = C.category_of(F.col("pgnace2"), [(s.id, s.rev2) for s in REGISTRY.sectors])
+    rev1 = C.category_of("pgnace", [(s.id, s.rev1) for s in REGISTRY.sectors])
+    rev2 = C.category_of("pgnace2", [(s.id, s.rev2) for s in REGISTRY.sectors])
     pairs = F.array(
         F.struct(rev1.alias("sector"), F.lit(1).alias("revision"), F.col("pgnace").alias("code")),
         F.struct(rev2.alias("sector"), F.lit(2).alias("revision"), F.col("pgnace2").alias("code")),
