@@ -95,8 +95,5 @@ def add_household_tables(
 
 
 def attach_dimension(dimension: DataFrame, stats: DataFrame, left_on: str, right_on: str) -> DataFrame:
-    """Inner join of a dimension to per-member statistics under different key names.
-
-    ``stats`` has one row per dimension member, so it is as small as the dimension.
-    """
-    return dimension.join(F.broadcast(stats), F.col(left_on) == F.col(right_on), "inner")
+    """Inner join of a dimension to per-member statistics under different key names."""
+    return dimension.join(stats, F.col(left_on) == F.col(right_on), "inner")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections.abc import Iterable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,12 +188,12 @@ def quantiles(df: DataFrame, variable: str, at: tuple[float, ...] = (0.25, 0.5,
         "value-counts",
     )
     marks = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx("value", F.array(*map(F.lit, marks)), F.lit(10 * buckets))).first()[0]
+    cuts = counts.agg(F.percentile_approx("value", F.lit(np.array(marks)), F.lit(10 * buckets))).first()[0]
     if cuts is None:
         return spark.createDataFrame([(float(q), None) for q in at], schema)
     cuts = sorted(set(cuts))
     ranged = counts.withColumn(
-        "bucket", F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut < F.col("value")))
+        "bucket", F.size(F.filter(F.lit(np.array(cuts)), lambda cut: cut < F.col("value")))
     )
     totals = sorted(ranged.groupBy("bucket").agg(F.sum("n")).collect())
     ends, total = [], 0

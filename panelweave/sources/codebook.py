@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VARIABLE_FIELDS = ("study", "dataset", "version", "variable", "label", "label_de")
@@ -17,32 +17,23 @@ def _scan(spark: SparkSession, glob: str, fields: tuple[str, ...], least: int, s
 
     ``source`` is the file name without its suffix; ``position`` orders the rows
     as they stand in the files. Header lines are kept: they can match a search.
+    A missing trailing field counts as empty.
     """
-    schema = ", ".join(f"{f} string" for f in fields) + ", _line string"
-    raw = (
-        spark.read.schema(schema)
-        .option("columnNameOfCorruptRecord", "_line")
-        .option("quote", '"').option("escape", '"')
-        .csv(glob)
-    )
-    # _line is set only where the number of fields differs from the schema
-    n_fields = F.when(F.col("_line").isNull(), F.lit(len(fields))).otherwise(
-        F.size(F.split("_line", FIELD_BREAK))
-    )
-    return raw.select(
+    lines = spark.read.text(glob).select(
+        "value",
         F.regexp_replace(F.col("_metadata.file_name"), f"{suffix}$", "").alias("source"),
         F.struct(
             F.col("_metadata.file_name").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
         ).alias("position"),
-        n_fields.alias("_n"),
-        *[_text(f) for f in fields],
-    ).filter(F.col("_n") >= least).drop("_n")
-
-
-def _text(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit("")).alias(name)
+    )
+    parsed = F.from_csv("value", ", ".join(f"{f} string" for f in fields), {"quote": '"', "escape": '"'})
+    return (
+        lines.filter(F.size(F.split("value", FIELD_BREAK)) >= least)
+        .withColumn("parsed", parsed)
+        .select("source", "position", *[F.coalesce(f"parsed.{f}", F.lit("")).alias(f) for f in fields])
+    )
 
 
 def read_variables(spark: SparkSession, folder: str, dataset: str | None = None) -> DataFrame:
