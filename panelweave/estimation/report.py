@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.estimation.fit import Fit
+from panelweave.estimation.fit import Fit, ModelSpec
 from panelweave.fixed_values import CONTROLS, TERM_GROUPS, TERM_LABELS
 from panelweave.functions import columns as C
 
@@ -46,6 +46,19 @@ def model_stats(spark: SparkSession, stage: str, fits: list[Fit]) -> DataFrame:
     return spark.createDataFrame(rows, STATS)
 
 
+def specifications(spark: SparkSession, stage: str, specs: list[ModelSpec]) -> DataFrame:
+    """What each model column stands for."""
+    rows = [
+        (stage, s.number, s.label, "Yes" if s.sector else "No", s.link, s.outcome, len(s.regressors),
+         any(r.endswith("_mean") for r in s.regressors))
+        for s in specs
+    ]
+    return spark.createDataFrame(
+        rows, "stage string, model_no string, model string, sector_fe string, link string, outcome string, "
+        "regressors int, person_means boolean",
+    )
+
+
 def comparison_table(effects: DataFrame, stats: DataFrame, terms=CONTROLS) -> DataFrame:
     """Published layout: terms by models as text, standard errors below, model rows at the end.
 

@@ -27,7 +27,13 @@ def number_sql(name: str) -> str:
 
 
 def without_codes_sql(value: str, codes: Iterable[float] = MISSING_CODES) -> str:
-    return f"CASE WHEN {value} NOT IN ({', '.join(f'{float(c)}D' for c in codes)}) THEN {value} END"
+    """The value, null for a code. A run of whole numbers becomes a range test, which is shorter code."""
+    low, high = min(codes), max(codes)
+    if sorted(codes) == list(range(int(low), int(high) + 1)):
+        coded = f"{value} BETWEEN {float(low)}D AND {float(high)}D AND {value} = rint({value})"
+    else:
+        coded = f"{value} IN ({', '.join(f'{float(c)}D' for c in codes)})"
+    return f"CASE WHEN NOT ({coded}) THEN {value} END"
 
 
 def numeric(name: str) -> Column:
@@ -75,14 +81,22 @@ def first_version(versions: Iterable[tuple[Column, Mapping | None]]) -> Column:
 def category_of(name: str, categories: Iterable[tuple[int, Iterable[int]]]) -> Column:
     """Category id whose code list holds the column's value; null when no list does.
 
-    One CASE of IN lists stays in generated code and needs no join. Codes are
-    compared as doubles, so 1.7 is no code.
+    Codes are small whole numbers, so the lists become one constant array with
+    the code as its index: no join, and generated code stays short enough to be
+    compiled. Values between whole numbers are no codes.
     """
-    branches = [
-        f"WHEN CAST({quoted(name)} AS DOUBLE) IN ({', '.join(f'{float(c)}D' for c in codes)}) THEN {int(category)}"
-        for category, codes in categories
-    ]
-    return F.expr(f"CASE {' '.join(branches)} END" if branches else "CAST(NULL AS INT)")
+    by_code = {int(code): int(category) for category, codes in categories for code in codes}
+    if not by_code:
+        return F.expr("CAST(NULL AS INT)")
+    last = max(by_code)
+    if min(by_code) < 0 or last > 100_000:
+        raise ValueError("codes must lie between 0 and 100000")
+    table = ", ".join(str(by_code.get(code, "CAST(NULL AS INT)")) for code in range(last + 1))
+    value = f"CAST({quoted(name)} AS DOUBLE)"
+    return F.expr(
+        f"CASE WHEN {value} BETWEEN 0 AND {last} AND {value} = rint({value}) "
+        f"THEN get(array({table}), CAST({value} AS INT)) END"
+    )
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

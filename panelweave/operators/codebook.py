@@ -92,11 +92,7 @@ def find_dataset(codebook: DataFrame, variable: str, preferred: Iterable[str] =
 
 def profile(data: DataFrame, variable: str, labels: DataFrame | None = None) -> dict[str, DataFrame]:
     """Everything reported on one variable: scale, missing answers, statistics, years."""
-    parts = {
-        "missing": describe.missing_rate(data, variable),
-        "statistics": describe.five_numbers(data, variable),
-        "by_year": describe.stats_by_year(data, variable),
-    }
+    parts = describe.profile(data, variable)
     if labels is not None:
         parts["scale"] = scale_bounds(labels, [])
     return parts

@@ -171,51 +171,77 @@ def appendix_table(df: DataFrame, registry: Registry) -> DataFrame:
 
 
 # -- one variable ---------------------------------------------------------------------------
+#
+# Survey answers repeat, so a column is first reduced to its distinct values and
+# their counts. The counts are written once; every statistic is taken from them.
 
-def quantiles(df: DataFrame, variable: str, at: tuple[float, ...] = (0.25, 0.5, 0.75), buckets: int = 256) -> DataFrame:
-    """Exact quantiles with linear interpolation.
+def value_counts(df: DataFrame, variable: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """Rows per distinct cleaned value (null included) and group, as a written table."""
+    values = df.select(*by, C.without_codes(variable).alias("value"))
+    return stage(values.groupBy(*by, "value").agg(F.count("*").alias("n")), "value-counts")
 
-    Values are counted first (and kept, three steps read the counts), then cut into ranges at approximate quantiles. Only
-    the range totals (at most ``buckets`` + 1 rows) reach the driver; they tell
-    which ranges hold the wanted ranks, and running counts are taken inside
-    those ranges alone. No task ever holds the whole column.
+
+def _valid(counts: DataFrame) -> DataFrame:
+    return counts.filter("value IS NOT NULL").groupBy("value").agg(F.sum("n").alias("n"))
+
+
+def _center(counts: DataFrame) -> float:
+    """Mean of all valid values; sums around it keep their digits."""
+    known = counts.filter("value IS NOT NULL")
+    mean = F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n"))
+    return known.agg(mean).first()[0] or 0.0
+
+
+def moments(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Valid n, mean, sample sd, min and max from value counts."""
+    center = _center(counts)
+    shift = F.col("value") - F.lit(center)
+    known = counts.filter("value IS NOT NULL")
+    sums = known.groupBy(*by).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum(shift * F.col("n")).alias("s1"),
+        F.sum(shift * shift * F.col("n")).alias("s2"), F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    spread = F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.lit(0.0))
+    return sums.select(
+        *by, "n",
+        F.when(F.col("n") > 0, F.lit(center) + F.try_divide("s1", "n")).alias("mean"),
+        F.when(F.col("n") > 1, F.sqrt(F.try_divide(spread, F.col("n") - 1))).alias("sd"),
+        "min", "max",
+    )
+
+
+def quantiles_of_counts(counts: DataFrame, at: tuple[float, ...], buckets: int = 256) -> DataFrame:
+    """Exact quantiles with linear interpolation from (value, n).
+
+    Values are cut into ranges at approximate quantiles. Only the range totals
+    (at most ``buckets`` rows) reach the driver; they tell which ranges hold the
+    wanted ranks, and running counts are taken inside those ranges alone.
     """
-    spark = df.sparkSession
+    spark = counts.sparkSession
     schema = "q double, value double"
-    counts = stage(
-        df.select(C.without_codes(variable).alias("value")).filter("value IS NOT NULL")
-        .groupBy("value").agg(F.count("*").alias("n")),
-        "value-counts",
-    )
-    marks = [i / buckets for i in range(1, buckets)]
-    cuts = counts.agg(F.percentile_approx("value", F.lit(np.array(marks)), F.lit(10 * buckets))).first()[0]
+    marks = np.arange(1, buckets) / buckets
+    cuts = counts.agg(F.percentile_approx("value", F.lit(marks), F.lit(10 * buckets))).first()[0]
     if cuts is None:
         return spark.createDataFrame([(float(q), None) for q in at], schema)
-    cuts = sorted(set(cuts))
     ranged = counts.withColumn(
-        "bucket", F.size(F.filter(F.lit(np.array(cuts)), lambda cut: cut < F.col("value")))
+        "bucket", F.size(F.filter(F.lit(np.unique(cuts)), lambda cut: cut < F.col("value")))
     )
     totals = sorted(ranged.groupBy("bucket").agg(F.sum("n")).collect())
-    ends, total = [], 0
-    for _, n in totals:
-        total += n
-        ends.append(total)
+    ends = np.cumsum([n for _, n in totals]).tolist()
 
     # 1-based ranks below and above each quantile, and the ranges they fall into
     wanted = []
     for q in at:
-        place = q * (total - 1)
+        place = q * (ends[-1] - 1)
         low = int(place)
-        wanted.append((float(q), low + 1, min(low + 2, total), place - low))
+        wanted.append((float(q), low + 1, min(low + 2, ends[-1]), place - low))
     ranks = sorted({r for _, low, high, _ in wanted for r in (low, high)})
-    holds = {}
-    for rank in ranks:
-        i = bisect_left(ends, rank)
-        holds.setdefault(totals[i][0], (ends[i] - totals[i][1], []))[1].append(rank)
-
-    offset = C.recode(F.col("bucket"), {b: before for b, (before, _) in holds.items()})
-    inside = ranged.filter(F.col("bucket").isin(*holds)).withColumn(
-        "last", offset.cast("long") + F.sum("n").over(Window.partitionBy("bucket").orderBy("value"))
+    holding = {bisect_left(ends, rank) for rank in ranks}
+    before = {totals[i][0]: ends[i] - totals[i][1] for i in holding}
+
+    running = F.sum("n").over(Window.partitionBy("bucket").orderBy("value"))
+    inside = ranged.filter(F.col("bucket").isin(*before)).withColumn(
+        "last", C.recode(F.col("bucket"), before).cast("long") + running
     )
     found = inside.select(
         "value",
@@ -233,18 +259,45 @@ def quantiles(df: DataFrame, variable: str, at: tuple[float, ...] = (0.25, 0.5,
     )
 
 
-def five_numbers(df: DataFrame, variable: str) -> DataFrame:
-    """Statistics of one variable, one row per statistic in the usual order."""
+def quantiles(
+    df: DataFrame, variable: str, at: tuple[float, ...] = (0.25, 0.5, 0.75), buckets: int = 256
+) -> DataFrame:
+    """Exact quantiles of one variable; no task ever holds the whole column."""
+    return quantiles_of_counts(_valid(value_counts(df, variable)), at, buckets)
+
+
+def five_numbers_of_counts(counts: DataFrame) -> DataFrame:
     order = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-    moments = summarise(df, [variable]).select(F.inline(F.array(*[
+    valid = _valid(counts)
+    summary = moments(valid).select(F.inline(F.array(*[
         F.struct(F.lit(name).alias("statistic"), F.col(c).cast("double").alias("value"))
         for name, c in (("count", "n"), ("mean", "mean"), ("std", "sd"), ("min", "min"), ("max", "max"))
     ])))
-    quartiles = quantiles(df, variable).select(
+    quartiles = quantiles_of_counts(valid, (0.25, 0.5, 0.75)).select(
         F.concat((F.col("q") * 100).cast("int").cast("string"), F.lit("%")).alias("statistic"), "value"
     )
     position = F.array_position(F.array(*map(F.lit, order)), F.col("statistic")).cast("int").alias("position")
-    return moments.unionByName(quartiles).select(position, "statistic", "value")
+    return summary.unionByName(quartiles).select(position, "statistic", "value")
+
+
+def five_numbers(df: DataFrame, variable: str) -> DataFrame:
+    """Statistics of one variable, one row per statistic in the usual order."""
+    return five_numbers_of_counts(value_counts(df, variable))
+
+
+def profile(df: DataFrame, variable: str) -> dict[str, DataFrame]:
+    """Missing answers, statistics and years of one variable from one pass over the table."""
+    counts = value_counts(df, variable, ("syear",))
+    totals = counts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(F.col("value").isNotNull(), F.col("n"))), F.lit(0)).alias("valid"),
+    )
+    years = moments(counts.filter(F.col("syear").isNotNull()), ("syear",))
+    return {
+        "missing": _missing(totals),
+        "statistics": five_numbers_of_counts(counts),
+        "by_year": years.select("syear", "n", "mean", F.col("sd").alias("std")),
+    }
 
 
 def stats_by_year(df: DataFrame, variable: str) -> DataFrame:
@@ -257,16 +310,21 @@ def stats_by_year(df: DataFrame, variable: str) -> DataFrame:
     )
 
 
-def missing_rate(df: DataFrame, variable: str) -> DataFrame:
-    """Rows, valid and missing answers, missing in percent (null for an empty table)."""
-    counts = df.agg(F.count("*").alias("total"), F.count(C.without_codes(variable)).alias("valid"))
+def _missing(totals: DataFrame) -> DataFrame:
     missing = F.col("total") - F.col("valid")
-    return counts.select(
+    return totals.select(
         "total", "valid", missing.alias("missing"),
         F.try_divide(missing * 100.0, F.col("total")).alias("missing_pct"),
     )
 
 
+def missing_rate(df: DataFrame, variable: str) -> DataFrame:
+    """Rows, valid and missing answers, missing in percent (null for an empty table)."""
+    return _missing(
+        df.agg(F.count("*").alias("total"), F.count(C.without_codes(variable)).alias("valid"))
+    )
+
+
 def distinct_people(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("observations"), F.countDistinct("pid").alias("individuals"))
 

@@ -57,7 +57,11 @@ def group_means(df: DataFrame, columns: Iterable[str], group: str = "pid") -> Da
 def add_group_means(
     df: DataFrame, columns: Iterable[str], group: str = "pid", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Every row with the means of its group over the rows given (filter before, not after)."""
+    """Every row with the means of its group over the rows given (filter before, not after).
+
+    ``df`` is read for the means, for the hot keys and for the join: stage it
+    when it is expensive to compute.
+    """
     means = group_means(df, columns, group)
     return salted_left_join(df, means.drop("n"), [group], means.select(group, "n"), hot_rows)
 

@@ -19,6 +19,8 @@ def local_session(app: str = "panelweave", cores: str = "*", **settings: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # test tables are small: keep several tasks per stage all the same
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

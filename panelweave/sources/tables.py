@@ -15,10 +15,11 @@ from panelweave.registry import Registry
 def scan_csv(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFrame:
     """Wanted columns of a CSV file as text, names matched without case and lower-cased.
 
-    Columns the file lacks are left out.
+    Columns the file lacks are left out. A folder of files counts as one file;
+    its files must agree in their headers, otherwise the job fails.
     """
     wanted = {c.lower() for c in columns}
-    raw = spark.read.option("header", True).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
     return raw.select([F.col(f"`{c}`").alias(c.lower()) for c in raw.columns if c.lower() in wanted])
 
 

@@ -6,6 +6,7 @@ from panelweave.fixed_values import CONTROLS, TIME_VARYING
 from panelweave.functions import columns as C
 from panelweave.operators import panel, ranges, sample
 from panelweave.operators.sample import analysis_sample
+from panelweave.session import stage
 from workload import inputs
 from workload.catalog import query, rounded
 from workload.frames import CONTROLS_SQL, REGISTRY, dataset
@@ -17,7 +18,7 @@ _MEANS_SQL = ", ".join(f"round(avg({v}) OVER (PARTITION BY pid), 6) AS {v}_mean"
 def mundlak_means(spark, sf_dir):
     rows = analysis_sample(inputs.master(spark, sf_dir), sample.PREFERENCE)
     means = [f"{v}_mean" for v in TIME_VARYING]
-    with_means = panel.add_group_means(rows.select("pid", "syear", *TIME_VARYING), TIME_VARYING)
+    with_means = panel.add_group_means(stage(rows.select("pid", "syear", *TIME_VARYING), "rows"), TIME_VARYING)
     return rounded(with_means.select("pid", "syear", *means), 6, *means)
 
 
@@ -30,7 +31,7 @@ _WITHIN_SQL = ", ".join(
 def within_demean(spark, sf_dir):
     columns = ["plb0097", *TIME_VARYING]
     rows = analysis_sample(inputs.master(spark, sf_dir), sample.PREFERENCE_WITHIN)
-    within = panel.within_deviations(rows.select("pid", "syear", *columns), columns)
+    within = panel.within_deviations(stage(rows.select("pid", "syear", *columns), "rows"), columns)
     # adding 0 turns a rounded -0.0 into 0.0
     return within.select("pid", "syear", *[(F.round(f"{c}_within", 6) + 0.0).alias(f"{c}_within") for c in columns])
 
