@@ -13,10 +13,10 @@ PERSON_KEY = ["pid", "syear"]
 HOUSEHOLD_KEY = ["hid", "syear"]
 
 
-def _one_row(count: Column, what: str) -> Column:
+def _unique(met: Column, what: str) -> Column:
     """True, or a failed job when a key has more than one row."""
     message = F.lit(f"duplicate key in {what}")
-    return F.when(count > 1, F.raise_error(message).cast("boolean")).otherwise(True)
+    return F.when(~met, F.raise_error(message).cast("boolean")).otherwise(True)
 
 
 def merge_person_tables(
@@ -26,9 +26,10 @@ def merge_person_tables(
 
     With unique keys the merge is one union and one aggregation: a single
     shuffle on the key, where chained full joins shuffle once per join because
-    their key is recomputed. The same aggregation counts rows per table and key
-    and fails the job on a duplicate. With ``unique_keys=False`` duplicates
-    multiply, as in a plain join.
+    their key is recomputed. Each value stands in one row of its key, so any
+    aggregate that skips nulls returns it. The same aggregation fails the job
+    when a key has more rows than tables that know it. With ``unique_keys=False``
+    duplicates multiply, as in a plain join.
     """
     values = [[c for c in t.columns if c not in keys] for t in tables]
     flat = [c for cols in values for c in cols]
@@ -36,20 +37,17 @@ def merge_person_tables(
         raise ValueError(f"columns in more than one table: {sorted({c for c in flat if flat.count(c) > 1})}")
     if not unique_keys:
         return reduce(lambda a, b: _full_join(a, b, keys), tables)
-    if len(tables) == 1:
-        return tables[0]
 
     tagged = [
-        t.select(*keys, *cols, F.lit(1).alias(f"_in{i}"))
-        for i, (t, cols) in enumerate(zip(tables, values))
+        t.select(*keys, *cols, F.lit(1 << i).alias("_table")) for i, (t, cols) in enumerate(zip(tables, values))
     ]
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
     merged = stacked.groupBy(*keys).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in flat],
-        *[F.count(f"_in{i}").alias(f"_n{i}") for i in range(len(tables))],
+        *[F.max(c).alias(c) for c in flat],
+        F.count("*").alias("_rows"),
+        F.bit_count(F.bit_or("_table")).alias("_tables"),
     )
-    rows = F.greatest(*[F.col(f"_n{i}") for i in range(len(tables))])
-    return merged.filter(_one_row(rows, "a person table")).select(*keys, *flat)
+    return merged.filter(_unique(F.col("_rows") == F.col("_tables"), "a person table")).select(*keys, *flat)
 
 
 def _full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,8 +65,8 @@ def _full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
 def check_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """One row per key, or a failed job."""
     values = [c for c in df.columns if c not in keys]
-    rows = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in values])
-    return rows.filter(_one_row(F.col("_n"), what)).drop("_n")
+    rows = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.max(c).alias(c) for c in values])
+    return rows.filter(_unique(F.col("_n") == 1, what)).drop("_n")
 
 
 def add_household_tables(
@@ -82,15 +80,12 @@ def add_household_tables(
 
     Person-years without a household, and households with very many person-years,
     are spread over tasks. ``members`` is the table the household id came from:
-    counting rows per household there reads two columns of one table instead of
+    looking for such households there reads one column of one table instead of
     the merged panel.
     """
-    if not tables:
-        return panel
-    counts = (panel if members is None else members).groupBy(*keys).agg(F.count("*").alias("n"))
     for table in tables:
-        known = table.dropna(subset=keys)
-        panel = salted_left_join(panel, check_unique(known, keys, "a household table"), keys, counts, hot_rows)
+        known = check_unique(table.dropna(subset=keys), keys, "a household table")
+        panel = salted_left_join(panel, known, keys, PERSON_KEY, members, hot_rows)
     return panel
 
 

@@ -55,21 +55,21 @@ def group_means(df: DataFrame, columns: Iterable[str], group: str = "pid") -> Da
 
 
 def add_group_means(
-    df: DataFrame, columns: Iterable[str], group: str = "pid", hot_rows: int = HOT_ROWS
+    df: DataFrame, columns: Iterable[str], group: str = "pid", row: str = "syear", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Every row with the means of its group over the rows given (filter before, not after).
 
-    ``df`` is read for the means, for the hot keys and for the join: stage it
-    when it is expensive to compute.
+    ``row`` tells the rows of a group apart. ``df`` is read for the means, for
+    the hot groups and for the join: stage it when it is expensive to compute.
     """
-    means = group_means(df, columns, group)
-    return salted_left_join(df, means.drop("n"), [group], means.select(group, "n"), hot_rows)
+    means = group_means(df, columns, group).drop("n")
+    return salted_left_join(df, means, [group], [group, row], hot_rows=hot_rows)
 
 
 def within_deviations(
-    df: DataFrame, columns: Iterable[str], group: str = "pid", hot_rows: int = HOT_ROWS
+    df: DataFrame, columns: Iterable[str], group: str = "pid", row: str = "syear", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``<column>_within``: value minus group mean. Groups of one row become all zero and stay."""
     columns = list(columns)
-    with_means = add_group_means(df, columns, group, hot_rows)
+    with_means = add_group_means(df, columns, group, row, hot_rows)
     return with_means.withColumns({f"{c}_within": F.col(c) - F.col(f"{c}_mean") for c in columns})

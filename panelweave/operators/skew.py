@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows of one key from which it is spread over several tasks. A table of N rows
-# has at most N / HOT_ROWS such keys, which bounds the broadcast below: a
-# trillion rows give at most a million keys of a few bytes each.
+# Rows of one key from which it is spread over several tasks.
 HOT_ROWS = 1_000_000
+# Hot keys are looked for in this many hash buckets, and at most so many kept in
+# each, so the list of hot keys has at most BUCKETS * PER_BUCKET rows.
+BUCKETS, PER_BUCKET, TRACKED = 64, 100, 10_000
 
 
-def hot_keys(counts: DataFrame, keys: list[str], hot_rows: int, n: str = "n") -> DataFrame:
-    """Keys with at least ``hot_rows`` rows and the number of parts each is split into."""
-    return counts.filter(F.col(n) >= hot_rows).select(
-        *keys, F.ceil(F.col(n) / hot_rows).cast("int").alias("_parts")
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with at least about ``hot_rows`` rows and the number of parts each is split into.
+
+    A frequent-items sketch per bucket is merged map-side, so no row is shuffled.
+    Its counts may be too high by a few millionths of the table; that only
+    splits a key which did not need it.
+    """
+    top = f"approx_top_k(`{key}`, {PER_BUCKET}, {TRACKED})"
+    return (
+        df.select(key).dropna()
+        .groupBy(F.pmod(F.hash(key), F.lit(BUCKETS)).alias("_bucket")).agg(F.expr(top).alias("_top"))
+        .select(F.inline("_top")).filter(F.col("count") >= hot_rows)
+        .select(F.col("item").alias(key), F.ceil(F.col("count") / hot_rows).cast("int").alias("_parts"))
     )
 
 
@@ -22,31 +32,29 @@ def salted_left_join(
     left: DataFrame,
     right: DataFrame,
     keys: list[str],
-    counts: DataFrame | None = None,
+    row_key: list[str],
+    seen: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Left join to a table unique on ``keys``; rows of hot keys go to several tasks.
 
-    ``counts`` (keys, n) gives rows per key, or an upper bound; by default they
-    are counted in ``left``. Rows with a null key match nothing and are spread
-    as well. The salt is a hash of the row, so a repeated task gives the same result.
+    Hot are values of the first key, looked for in ``seen`` (``left`` by
+    default). Rows with a null key match nothing and are spread as well. The
+    salt is a hash of ``row_key``, the columns that tell rows of one key apart,
+    so a repeated task gives the same result.
     """
-    if counts is None:
-        counts = left.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = F.broadcast(hot_keys(counts.dropna(subset=keys), keys, hot_rows))
-
-    row_hash = F.xxhash64(*left.columns)
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    salted = left.join(hot, keys, "left").withColumn(
+    key = keys[0]
+    # at most BUCKETS * PER_BUCKET rows
+    hot = F.broadcast(hot_keys(left if seen is None else seen, key, hot_rows))
+    row_hash = F.xxhash64(*row_key)
+    salted = left.join(hot, key, "left").withColumn(
         "_salt",
-        F.when(null_key, F.pmod(row_hash, F.lit(1 << 30)) + 1)
+        F.when(F.col(key).isNull(), F.pmod(row_hash, F.lit(1 << 30)) + 1)
         .when(F.col("_parts").isNotNull(), F.pmod(row_hash, F.col("_parts")))
         .otherwise(0).cast("long"),
     ).drop("_parts")
-    copies = right.join(hot, keys, "left").withColumn(
+    copies = right.join(hot, key, "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
     ).withColumn("_salt", F.col("_salt").cast("long")).drop("_parts")
-    joined = salted.join(copies, [*keys, "_salt"], "left").drop("_salt")
+    joined = salted.join(copies, [*keys, "_salt"], "left")
     return joined.select(*left.columns, *[c for c in right.columns if c not in keys])

@@ -64,10 +64,34 @@ def test_hot_keys_are_spread(spark, rows):
         spark.createDataFrame([(7, 70)], "k long, w long")
     )
     plain = left.join(right, "k", "left").select("k", "v", "w")
-    salted = skew.salted_left_join(left, right, ["k"], hot_rows=100)
+    salted = skew.salted_left_join(left, right, ["k"], ["k", "v"], hot_rows=100)
     assert rows(salted) == rows(plain)
-    hot = skew.hot_keys(left.dropna().groupBy("k").agg(F.count("*").alias("n")), ["k"], 100).collect()
-    assert [(r[0], r[1]) for r in hot] == [(7, 11)]  # 1001 rows
+    assert rows(skew.hot_keys(left, "k", 100)) == [(7, 11)]  # 1001 rows
+
+
+def test_hot_household(spark, rows):
+    """A household with a third of all person-years, and many people without one."""
+    people = spark.range(2000).select(
+        F.col("id").alias("pid"), (2000 + F.col("id") % 3).cast("int").alias("syear"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("hid"),
+    )
+    homes = spark.range(0, 2000, 5).union(spark.createDataFrame([(7,)], "id long")).select(
+        F.col("id").alias("hid"), F.explode(F.array(*map(F.lit, (2000, 2001, 2002)))).alias("syear")
+    ).withColumn("m", F.col("hid") * 10 + F.col("syear"))
+    got = assemble.add_household_tables(people, [homes], hot_rows=50)
+    want = people.join(homes, ["hid", "syear"], "left").select(*got.columns)
+    assert rows(got) == rows(want)
+
+
+def test_join_reads_wanted_columns_only(spark, tmp_path):
+    a, b = people(spark)
+    homes = spark.createDataFrame([(10, 2000, 90.0)], "hid long, syear int, m double")
+    for name, df in (("a", a), ("b", b), ("h", homes)):
+        df.write.parquet(str(tmp_path / name))
+    read = [spark.read.parquet(str(tmp_path / n)) for n in "abh"]
+    panel_ = assemble.add_household_tables(assemble.merge_person_tables(read[:2]), read[2:])
+    plan = panel_.groupBy("syear").agg(F.sum("m"))._jdf.queryExecution().executedPlan().toString()
+    assert "a:double" not in plan and "b:double" not in plan and "m:double" in plan
 
 
 def test_hot_group_means(spark, rows):
