@@ -147,8 +147,8 @@ def _add_up(partials: DataFrame) -> dict[int, np.ndarray]:
 
 def gram(df: DataFrame, columns: list[str]) -> tuple[int, np.ndarray]:
     """Number of rows and XᵀX of the columns."""
-    exact = df.select(*[F.col(c).cast("double") for c in columns])
-    sums = _add_up(exact.mapInArrow(kernels.cross_products({0: len(columns)}), "model int, sums array<double>"))
+    packed = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
+    sums = _add_up(packed.mapInArrow(kernels.cross_products({0: len(columns)}), "model int, sums array<double>"))
     scalars, _, square = kernels.unpack(sums[0], len(columns), 1, 0)
     return int(scalars[0]), square
 
@@ -162,35 +162,45 @@ def _check_levels(table: DataFrame, category: str, outcomes: list[str]) -> None:
                 raise EstimationError(f"{category} {row[category]:g}: only one value of {o}")
 
 
+def _parts(name: str) -> tuple[str, ...]:
+    """``<v>_within`` stands for v minus its group mean; the difference is taken where it is used."""
+    base = name.removesuffix("_within")
+    return (name,) if base == name else (base, f"{base}_mean")
+
+
 def fit_models(
     table: DataFrame, specs: list[ModelSpec], cluster: str = "pid", category: str = "sector"
 ) -> list[Fit]:
     """Fit all specs on the rows of ``table``, clustered by ``cluster``.
 
     ``table`` should be cheap to read again (a staged or stored table): it is
-    read once per Newton step.
+    read once per Newton step. A regressor or outcome ``<v>_within`` needs the
+    columns ``<v>`` and ``<v>_mean``.
     """
     levels: list[float] = []
     by_sector = [s for s in specs if s.sector]
     if by_sector:
         levels = category_levels(table, category)
         _check_levels(table, category, sorted({s.outcome for s in by_sector}))
-    columns = list(dict.fromkeys(c for s in specs for c in s.regressors))
-    design = kernels.Design(columns, category, levels[1:])
+    used = list(dict.fromkeys(c for s in specs for c in s.regressors))
+    differences = {c: _parts(c) for c in used if len(_parts(c)) == 2}
+    columns = [c for c in used if c not in differences]
+    outcomes = [c for s in specs for c in _parts(s.outcome)]
+    design = kernels.Design(columns, differences, outcomes, category, levels[1:])
     place = {t: i for i, t in enumerate(design.terms)}
-    dummies = design.terms[1 + len(columns):]
+    dummies = design.terms[1 + len(used):]
     terms = [
         [*(["Intercept"] if s.intercept else []), *s.regressors, *(dummies if s.sector else ())] for s in specs
     ]
     equations = {
-        m: kernels.Equation(s.link, s.outcome, [place[t] for t in terms[m]]) for m, s in enumerate(specs)
+        m: kernels.Equation(s.link, _parts(s.outcome), [place[t] for t in terms[m]]) for m, s in enumerate(specs)
     }
-    outcomes = list(dict.fromkeys(s.outcome for s in specs))
-    numbers = [c for c in dict.fromkeys([*columns, *outcomes, *([category] if levels else [])])]
-    rows = table.select(cluster, *[F.col(c).cast("double").alias(c) for c in numbers]).persist()
+    rows = table.select(cluster, *[F.col(c).cast("double").alias(c) for c in design.packed]).persist()
+    # cached as plain columns, which compress; packed on the way to Python
+    packed = rows.select(cluster, F.array(*design.packed).alias("x"))
     try:
-        betas, sums, steps, condition = _newton(rows, design, equations, [s.label + s.number for s in specs])
-        meat, clusters = _meat(rows, design, equations, betas, cluster)
+        betas, sums, steps, condition = _newton(packed, design, equations, [s.label + s.number for s in specs])
+        meat, clusters = _meat(packed, design, equations, betas, cluster)
     finally:
         rows.unpersist()
 
@@ -219,7 +229,7 @@ def null_log_lik(n: float, ones: float) -> float:
 
 def _newton(rows, design, equations, names):
     """Maximise every likelihood; models that have converged drop out of later passes."""
-    betas = {m: np.zeros(len(e.index)) for m, e in equations.items()}
+    betas = {m: np.zeros(e.size) for m, e in equations.items()}
     sums, steps, condition = {}, dict.fromkeys(equations, 0), {}
     best: dict[int, tuple] = {}
     moving, last = dict(equations), set()
@@ -257,13 +267,14 @@ def _meat(rows, design, equations, betas, cluster):
     Scores are summed per batch, then per task and cluster by the map side of
     the aggregation, so a cluster of any size is a few rows in the shuffle.
     """
-    widths = {m: len(e.index) for m, e in equations.items()}
+    widths = {m: e.size for m, e in equations.items()}
     names = [f"u{i}" for i in range(sum(widths.values()))]
     partial = rows.mapInArrow(
         kernels.group_scores(design, equations, betas, cluster),
         ", ".join([f"{cluster} long", *[f"{c} double" for c in names]]),
     )
-    scores = partial.groupBy(cluster).agg(*[F.sum(c).alias(c) for c in names]).drop(cluster)
+    sums = partial.groupBy(cluster).agg(*[F.sum(c).alias(c) for c in names])
+    scores = sums.select(F.array(*names).alias("x"))
     found = _add_up(scores.mapInArrow(kernels.cross_products(widths), "model int, sums array<double>"))
     meat = {}
     for m, k in widths.items():

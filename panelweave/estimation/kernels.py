@@ -75,35 +75,72 @@ def link_terms(link, y, eta):
     return log_cdf, score, score * (score + eta), density, -eta * density
 
 
-class Design:
-    """Where the columns of the design matrix come from: constant, columns, one dummy per level."""
+def packed(batch):
+    """The array column ``x`` of a batch as a (values per row by rows) matrix.
+
+    One array column crosses into Python several times faster than many plain columns.
+    """
+    flat = batch.column("x").flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(batch.num_rows, -1).T
 
-    def __init__(self, columns, category=None, levels=()):
-        self.columns, self.category, self.levels = tuple(columns), category, tuple(levels)
-        self.terms = ("Intercept", *self.columns, *[f"{category}_{int(v)}" for v in self.levels])
 
-    def matrix(self, batch):
-        x = np.empty((batch.num_rows, len(self.terms)))
-        x[:, 0] = 1.0
-        for j, name in enumerate(self.columns, 1):
-            x[:, j] = batch.column(name).to_numpy(zero_copy_only=False)
+class Design:
+    """Makes the (terms by observations) design matrix from the packed columns.
+
+    A constant, columns, differences of two columns, one dummy per level.
+    """
+
+    def __init__(self, columns, differences=None, others=(), category=None, levels=()):
+        self.columns, self.differences = tuple(columns), dict(differences or {})
+        self.category, self.levels = category, tuple(levels)
+        dummies = [f"{category}_{int(v)}" for v in self.levels]
+        self.terms = ("Intercept", *self.columns, *self.differences, *dummies)
+        more = [c for pair in self.differences.values() for c in pair] + list(others)
+        more += [category] if self.levels else []
+        # what to pack, design columns first
+        self.packed = tuple(dict.fromkeys([*self.columns, *more]))
+        self.place = {name: i for i, name in enumerate(self.packed)}
+
+    def value(self, values, parts):
+        """A column, or the difference of two."""
+        first = values[self.place[parts[0]]]
+        return first - values[self.place[parts[1]]] if len(parts) > 1 else np.ascontiguousarray(first)
+
+    def matrix(self, values):
+        x = np.empty((len(self.terms), values.shape[1]))
+        x[0] = 1.0
+        at = 1 + len(self.columns)
+        x[1:at] = values[:at - 1]
+        for parts in self.differences.values():
+            x[at] = self.value(values, parts)
+            at += 1
         if self.levels:
-            code = batch.column(self.category).to_numpy(zero_copy_only=False)
-            for j, level in enumerate(self.levels, 1 + len(self.columns)):
-                x[:, j] = code == level
+            code = values[self.place[self.category]]
+            for level in self.levels:
+                x[at] = code == level
+                at += 1
         return x
 
 
 class Equation:
-    """One model: link, outcome column and its columns of the design matrix."""
+    """One model: link, outcome (a column, or a difference of two) and its rows of the design matrix."""
 
     def __init__(self, link, outcome, index):
-        self.link, self.outcome, self.index = link, outcome, np.asarray(index)
+        self.link, self.outcome = link, outcome
+        first, last = index[0], index[-1]
+        # a slice is a view, a list of rows a copy
+        self.index = slice(first, last + 1) if list(index) == list(range(first, last + 1)) else list(index)
+        self.size = len(index)
+
+    def rows(self, x, y, beta):
+        xm = x[self.index]
+        return xm, link_terms(self.link, y, beta @ xm)
+
 
-    def rows(self, batch, x, beta):
-        y = batch.column(self.outcome).to_numpy(zero_copy_only=False).astype(float)
-        xm = x[:, self.index]
-        return y, xm, link_terms(self.link, y, xm @ beta)
+def weighted_squares(x, weight):
+    """X W Xᵀ of non-negative weights, as a product of one matrix with its transpose."""
+    root = x * np.sqrt(np.maximum(weight, 0.0))
+    return root @ root.T
 
 
 N_SCALARS = 5  # rows, log-likelihood, sum of y, sum of y², sum of densities
@@ -137,13 +174,15 @@ def likelihood_sums(design, equations, betas):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = design.matrix(batch)
+            values = packed(batch)
+            x = design.matrix(values)
             for m, equation in equations.items():
-                y, xm, (ll, score, weight, density, slope) = equation.rows(batch, x, betas[m])
+                y = design.value(values, equation.outcome)
+                xm, (ll, score, weight, density, slope) = equation.rows(x, y, betas[m])
                 part = pack(
                     [len(y), ll.sum(), y.sum(), y @ y, density.sum()],
-                    [score @ xm, slope @ xm],
-                    (xm * weight[:, None]).T @ xm,
+                    [xm @ score, xm @ slope],
+                    weighted_squares(xm, weight),
                 )
                 totals[m] = totals[m] + part if m in totals else part
         if totals:
@@ -159,16 +198,18 @@ def group_scores(design, equations, betas, group):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = design.matrix(batch)
+            values = packed(batch)
+            x = design.matrix(values)
             keys = batch.column(group).to_numpy(zero_copy_only=False)
             order = np.argsort(keys, kind="stable")
             keys = keys[order]
             starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
             scores = []
             for m, equation in equations.items():
-                _, xm, (_, score, _, _, _) = equation.rows(batch, x, betas[m])
-                scores.append(np.add.reduceat((xm * score[:, None])[order], starts, axis=0))
-            wide = np.ascontiguousarray(np.hstack(scores).T)
+                y = design.value(values, equation.outcome)
+                xm, (_, score, _, _, _) = equation.rows(x, y, betas[m])
+                scores.append(np.add.reduceat((xm * score)[:, order], starts, axis=1))
+            wide = np.vstack(scores)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys[starts], pa.int64()), *[pa.array(c) for c in wide]],
                 names=[group, *[f"u{i}" for i in range(len(wide))]],
@@ -177,7 +218,7 @@ def group_scores(design, equations, betas, group):
     return run
 
 
-def cross_products(widths, n_first=0):
+def cross_products(widths):
     """Kernel: per model the number of rows and XᵀX of its columns; models lie side by side."""
 
     def run(batches):
@@ -185,13 +226,11 @@ def cross_products(widths, n_first=0):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = np.column_stack([
-                batch.column(n_first + i).to_numpy(zero_copy_only=False) for i in range(sum(widths.values()))
-            ])
+            x = packed(batch)
             at = 0
             for m, k in widths.items():
-                block = x[:, at:at + k]
-                part = pack([len(x)], [], block.T @ block)
+                block = np.ascontiguousarray(x[at:at + k])
+                part = pack([x.shape[1]], [], block @ block.T)
                 totals[m] = totals[m] + part if m in totals else part
                 at += k
         if totals:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from panelweave.estimation.fit import Fit, ModelSpec, fit_models
 from panelweave.fixed_values import TIME_VARYING
-from panelweave.operators.panel import within_deviations
+from panelweave.operators.panel import add_group_means
 from panelweave.operators.sample import (
     PREFERENCE,
     PREFERENCE_WITHIN,
@@ -48,14 +48,14 @@ def within_spec(design: SampleDesign, number: str) -> ModelSpec:
 
 
 def estimation_table(master: DataFrame, design: SampleDesign) -> DataFrame:
-    """The sample with person means and deviations, written once for all passes.
+    """The sample with person means, written once for all passes.
 
     Means are taken over the estimation sample, after every filter. The narrow
     sample is written before them: means, their counts and the join all read it,
     and none of them should rebuild the panel.
     """
     sample = stage(analysis_sample(master, design).select(design.required()), "sample")
-    return stage(within_deviations(sample, [design.outcome, *TIME_VARYING]), "design")
+    return stage(add_group_means(sample, [design.outcome, *TIME_VARYING]), "design")
 
 
 def rename_within(fits: list[Fit]) -> list[Fit]:

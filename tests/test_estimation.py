@@ -145,6 +145,20 @@ def test_linear(spark):
     assert [r[1] for r in fit.effects()] == pytest.approx(list(fit.beta[1:]))
 
 
+def test_within_deviations_are_differences_of_columns(spark):
+    pid, x, sector, y = data()
+    rows = table(spark, pid, x, sector, y)
+    means = rows.groupBy("pid").agg(*[F.avg(c).alias(f"{c}_mean") for c in ("a", "b", "y")])
+    spec = ModelSpec("", "FE", "linear", "y_within", ("a_within", "b_within"), intercept=False)
+    fit = fit_models(rows.join(means, "pid"), [spec])[0]
+    demean = lambda v: v - np.array([v[pid == g].mean(axis=0) for g in pid])
+    xm, ym = demean(x), demean(y)
+    beta = np.linalg.lstsq(xm, ym, rcond=None)[0]
+    np.testing.assert_allclose(fit.beta, beta, rtol=1e-9)
+    np.testing.assert_allclose(fit.cov, clustered(xm, ym - xm @ beta, xm.T @ xm, pid), rtol=1e-8)
+    assert fit.r2 == pytest.approx(1 - ((ym - xm @ beta) ** 2).sum() / (ym ** 2).sum())
+
+
 def test_wald(fitted):
     fit = fitted[1][1]
     chi2, df, p = fit.wald(["sector_2", "sector_3"])

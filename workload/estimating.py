@@ -41,7 +41,7 @@ def _within_table(spark, sf_dir, regressors):
     rows = sample.analysis_sample(inputs.master(spark, sf_dir), sample.PREFERENCE_WITHIN)
     columns = [WILLING, *regressors]
     return stage(
-        panel.within_deviations(stage(rows.select("pid", "syear", *columns), "rows"), columns), "within"
+        panel.add_group_means(stage(rows.select("pid", "syear", *columns), "rows"), columns), "within"
     )
 
 
@@ -102,6 +102,35 @@ def linear_mundlak_equals_fe(spark, sf_dir):
     return rounded(spark.createDataFrame(rows, "model string, estimate double"), 6, "estimate")
 
 
+# least squares fits the totals of every regressor over the outcome exactly
+def _within_totals_sql(name, source, outcome):
+    deviations = ", ".join(f"{v} - avg({v}) OVER (PARTITION BY pid) AS {v}" for v in (outcome, *TIME_VARYING))
+    totals = " UNION ALL ".join(
+        f"SELECT '{name}' AS stage, '{v}' AS term, round(sum({v} * {outcome}), 4) AS total FROM d" for v in TIME_VARYING
+    )
+    return f"SELECT * FROM (WITH d AS (SELECT {deviations} FROM {source}) {totals})"
+
+
+@query("fe_lpm_totals", _within_totals_sql("Preference", "w1", WILLING)
+       + " UNION ALL " + _within_totals_sql("Realization", "w2", ACTUAL))
+def fe_lpm_totals(spark, sf_dir):
+    """Totals of each regressor's deviations weighted by the fitted outcome."""
+    master = inputs.stored_master(spark, sf_dir)
+    parts = []
+    for name, design in (("Preference", sample.PREFERENCE_WITHIN), ("Realization", sample.REALIZATION_WITHIN)):
+        table = suites.estimation_table(master, design)
+        fit = fit_models(table, [suites.within_spec(design, "(1)")])[0]
+        within = table.select([(F.col(v) - F.col(f"{v}_mean")).alias(v) for v in TIME_VARYING])
+        fitted = reduce(lambda a, b: a + b, [
+            F.col(t.removesuffix("_within")) * float(b) for t, b in zip(fit.terms, fit.beta)
+        ])
+        totals = within.agg(*[F.round(F.sum(fitted * F.col(v)), 4).alias(v) for v in TIME_VARYING])
+        parts.append(totals.select(F.lit(name).alias("stage"), F.inline(F.array(*[
+            F.struct(F.lit(v).alias("term"), F.col(v).alias("total")) for v in TIME_VARYING
+        ]))))
+    return parts[0].unionByName(parts[1])
+
+
 # -- binary models with a closed form ----------------------------------------------------
 
 def _stage1(spark, sf_dir, *columns):
