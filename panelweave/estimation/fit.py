@@ -268,13 +268,11 @@ def _meat(rows, design, equations, betas, cluster):
     the aggregation, so a cluster of any size is a few rows in the shuffle.
     """
     widths = {m: e.size for m, e in equations.items()}
-    names = [f"u{i}" for i in range(sum(widths.values()))]
     partial = rows.mapInArrow(
-        kernels.group_scores(design, equations, betas, cluster),
-        ", ".join([f"{cluster} long", *[f"{c} double" for c in names]]),
+        kernels.group_scores(design, equations, betas, cluster), f"{cluster} long, u array<double>"
     )
-    sums = partial.groupBy(cluster).agg(*[F.sum(c).alias(c) for c in names])
-    scores = sums.select(F.array(*names).alias("x"))
+    sums = partial.groupBy(cluster).agg(*[F.expr(f"sum(u[{i}]) AS u{i}") for i in range(sum(widths.values()))])
+    scores = sums.select(F.array(*sums.columns[1:]).alias("x"))
     found = _add_up(scores.mapInArrow(kernels.cross_products(widths), "model int, sums array<double>"))
     meat = {}
     for m, k in widths.items():

@@ -210,9 +210,11 @@ def group_scores(design, equations, betas, group):
                 xm, (_, score, _, _, _) = equation.rows(x, y, betas[m])
                 scores.append(np.add.reduceat((xm * score)[:, order], starts, axis=1))
             wide = np.vstack(scores)
+            offsets = np.arange(wide.shape[1] + 1, dtype=np.int32) * len(wide)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[starts], pa.int64()), *[pa.array(c) for c in wide]],
-                names=[group, *[f"u{i}" for i in range(len(wide))]],
+                [pa.array(keys[starts], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(wide.T.ravel()))],
+                names=[group, "u"],
             )
 
     return run

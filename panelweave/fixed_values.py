@@ -129,7 +129,7 @@ VARIABLES = (
         ("e11101", "pequiv", "Annual work hrs", "hours", "continuous", ""),
         ("plb0193_h", "pl", "Overtime", "0/1", "continuous", ""),
         ("sector", "derived", "Industry Sector", "1--15", "categorical",
-         "Derived from \\texttt{p_nace} (NACE Rev.1) and \\texttt{p_nace2} (NACE Rev.2)."),
+         "Derived from p_nace (NACE Rev.1) and p_nace2 (NACE Rev.2)."),
     )),
 )
 
