@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.estimation import kernels
-from panelweave.operators.derive import category_levels
 
 # workers need not have the package installed
 cloudpickle.register_pickle_by_value(kernels)
@@ -153,13 +152,20 @@ def gram(df: DataFrame, columns: list[str]) -> tuple[int, np.ndarray]:
     return int(scalars[0]), square
 
 
-def _check_levels(table: DataFrame, category: str, outcomes: list[str]) -> None:
-    """A level whose rows all have the same outcome has no finite coefficient."""
+def _levels(table: DataFrame, category: str, outcomes: list[str], most: int = 500) -> list[float]:
+    """Levels of the category in ascending order.
+
+    A level whose rows all have the same outcome has no finite coefficient.
+    """
     ends = [f(o).alias(f"{f.__name__}_{o}") for o in outcomes for f in (F.min, F.max)]
-    for row in table.groupBy(category).agg(*ends).collect():
+    rows = table.groupBy(category).agg(*ends).limit(most + 1).collect()
+    if len(rows) > most:
+        raise EstimationError(f"{category} has more than {most} levels")
+    for row in rows:
         for o in outcomes:
             if row[f"min_{o}"] == row[f"max_{o}"]:
                 raise EstimationError(f"{category} {row[category]:g}: only one value of {o}")
+    return sorted(row[category] for row in rows)
 
 
 def _parts(name: str) -> tuple[str, ...]:
@@ -180,8 +186,7 @@ def fit_models(
     levels: list[float] = []
     by_sector = [s for s in specs if s.sector]
     if by_sector:
-        levels = category_levels(table, category)
-        _check_levels(table, category, sorted({s.outcome for s in by_sector}))
+        levels = _levels(table, category, sorted({s.outcome for s in by_sector}))
     used = list(dict.fromkeys(c for s in specs for c in s.regressors))
     differences = {c: _parts(c) for c in used if len(_parts(c)) == 2}
     columns = [c for c in used if c not in differences]
@@ -215,8 +220,9 @@ def fit_models(
         else:
             null = null_log_lik(n, y)
             r2 = 1.0 - ll / null
+        cov = correction * bread @ meat[m] @ bread
         fits.append(Fit(
-            spec, terms[m], betas[m], correction * bread @ meat[m] @ bread, int(n), clusters, float(ll), null,
+            spec, terms[m], betas[m], (cov + cov.T) / 2.0, int(n), clusters, float(ll), null,
             float(r2), float(density / n), slope / n, steps[m], condition[m],
         ))
     return fits

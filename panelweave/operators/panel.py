@@ -23,11 +23,8 @@ def panel_size(df: DataFrame, waves: DataFrame, person: str = "pid") -> DataFram
         F.min("n").alias("min_obs"),
         F.max("n").alias("max_obs"),
     )
-    # two one-row aggregates of two tables, put side by side
-    total = waves.agg(F.countDistinct("syear").alias("waves"))
-    return sizes.withColumn("_one", F.lit(1)).join(
-        F.broadcast(total.withColumn("_one", F.lit(1))), "_one"
-    ).drop("_one").withColumn(
+    possible = waves.agg(F.countDistinct("syear").alias("waves")).scalar()
+    return sizes.withColumn("waves", possible).withColumn(
         "balance", F.try_divide(F.col("observations"), F.col("individuals") * F.col("waves"))
     )
 
@@ -35,11 +32,9 @@ def panel_size(df: DataFrame, waves: DataFrame, person: str = "pid") -> DataFram
 def wave_histogram(df: DataFrame, person: str = "pid") -> DataFrame:
     """Persons per number of waves, and their percent of all persons."""
     per_person = df.groupBy(person).agg(F.count("*").alias("waves"))
-    histogram = per_person.groupBy("waves").agg(F.count("*").alias("persons"))
-    total = histogram.agg(F.sum("persons").alias("_total")).withColumn("_one", F.lit(1))
-    return (
-        histogram.withColumn("_one", F.lit(1)).join(F.broadcast(total), "_one")
-        .select("waves", "persons", (F.col("persons") * 100 / F.col("_total")).alias("percent"))
+    everyone = df.agg(F.countDistinct(person)).scalar()
+    return per_person.groupBy("waves").agg(F.count("*").alias("persons")).select(
+        "waves", "persons", (F.col("persons") * 100 / everyone).alias("percent")
     )
 
 
