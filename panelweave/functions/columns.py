@@ -50,12 +50,15 @@ def without_codes(name: str, codes: Iterable[float] = MISSING_CODES) -> Column:
 
 
 def clean(name: str, text: bool = True) -> Column:
-    """Text (or numeric) answers to double, missing-answer codes as null."""
-    return F.expr(without_codes_sql(number_sql(name))) if text else without_codes(name)
+    """Text or numeric answers to double; missing-answer codes and NaN as null."""
+    value = number_sql(name) if text else f"nanvl(CAST({quoted(name)} AS DOUBLE), NULL)"
+    return F.expr(without_codes_sql(value))
 
 
-def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+def identifier(name: str) -> Column:
+    """Whole-number id, also when written as ``12.0``; missing-answer codes as null."""
+    value = f"coalesce(TRY_CAST({quoted(name)} AS BIGINT), CAST({number_sql(name)} AS BIGINT))"
+    return F.expr(without_codes_sql(value))
 
 
 def recode(value: Column, mapping: Mapping, unlisted: str = "keep") -> Column:

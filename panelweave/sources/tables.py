@@ -31,8 +31,12 @@ def clean_values(df: DataFrame, key: str) -> DataFrame:
     """Every non-key column to double, ids to whole numbers, missing codes to null."""
     cleaned = []
     for c, kind in df.dtypes:
-        target = "long" if c in ("pid", "hid") else "double"
-        value = F.col(c) if c in (key, "syear") else C.clean(c, kind == "string").cast(target)
+        if c in (key, "syear"):
+            value = F.col(c)
+        elif c in ("pid", "hid"):
+            value = C.identifier(c)
+        else:
+            value = C.clean(c, kind == "string")
         cleaned.append(value.alias(c))
     return df.select(cleaned)
 

@@ -31,7 +31,14 @@ def test_missing_codes(spark):
 
 
 def test_nan_becomes_null(spark):
-    assert values(frame(spark, [math.nan, 1.0, None], "double"), C.nan_to_null(F.col("c"))) == [None, 1.0, None]
+    df = frame(spark, [math.nan, 1.0, None, -3.0], "double")
+    assert values(df, C.clean("c", text=False)) == [None, 1.0, None, None]
+
+
+def test_identifier(spark):
+    texts = ["12", "12.0", "-2", "", None, "x", "9007199254740993"]
+    assert values(frame(spark, texts, "string"), C.identifier("c")) == [12, 12, None, None, None, None, 9007199254740993]
+    assert values(frame(spark, [7, -1, None], "long"), C.identifier("c")) == [7, None, None]
 
 
 def test_recode_is_simultaneous(spark):
