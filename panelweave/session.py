@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,16 +29,10 @@ def local_session(app: str = "panelweave", cores: str = "*", **settings: str) ->
 
 
 def stage_folder(spark: SparkSession) -> str:
-    """The shared folder named by the session; a temporary one only in local mode."""
+    """The shared folder named by the session; where none is named, one under its warehouse."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     folder = folder or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="panelweave-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages").rstrip("/")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
