@@ -77,3 +77,42 @@ SELECT doc_id, size, text_crc32, 'rows' AS law, (v % 24)::INTEGER AS shard, v //
        NULL::INTEGER AS grown_shard
 FROM walk WHERE steps > 0 AND v < n
 """
+
+CALLS = """
+WITH RECURSIVE messages AS (
+  SELECT conv_id, turn, role, text, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words,
+         concat_ws(':', conv_id, turn) AS id, count(*) AS copies
+  FROM conversations GROUP BY ALL),
+calls AS (
+  SELECT *, concat_ws(':', conv_id, turn - 2) AS after_id, CASE role WHEN 'system' THEN 'configure' ELSE 'reply' END AS name
+  FROM messages WHERE role IN ('system', 'user')),
+levels AS (
+  SELECT id, 0::BIGINT AS level FROM calls WHERE after_id NOT IN (SELECT id FROM calls)
+  UNION ALL
+  SELECT c.id, l.level + 1 FROM calls c JOIN levels l ON c.after_id = l.id),
+results AS (SELECT *, concat_ws(':', conv_id, turn - 1) AS call_id FROM messages WHERE role = 'assistant'),
+linked AS (
+  SELECT c.conv_id, c.id AS call_id, c.name, l.level, c.copies, c.turn AS moment, 0 AS kind, r.text AS content,
+         CASE WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+         CASE name WHEN 'configure' THEN '{"instruction":' || to_json(c.text) || ',"words":' || c.words || '}'
+           ELSE '{"prompt":' || to_json(c.text) || ',"turn":' || c.turn || ',"words":' || c.words || '}' END AS arguments,
+         concat_ws('; ',
+           CASE WHEN name = 'configure' THEN CASE WHEN length(c.text) < 20 THEN 'instruction: below 20'
+             WHEN length(c.text) > 300 THEN 'instruction: above 300' END
+           ELSE CASE WHEN length(c.text) < 30 THEN 'prompt: below 30' WHEN length(c.text) > 400 THEN 'prompt: above 400' END END,
+           CASE WHEN name = 'reply' AND c.turn > 6 THEN 'turn: above 6' END,
+           CASE WHEN c.words < 5 THEN 'words: below 5' WHEN name = 'reply' AND c.words > 60 THEN 'words: above 60' END
+         ) AS problems
+  FROM calls c JOIN levels l USING (id) LEFT JOIN results r ON r.call_id = c.id
+  UNION ALL
+  SELECT conv_id, call_id, NULL, NULL, copies, turn, 2, text, 'orphan result', 'null', ''
+  FROM results WHERE call_id NOT IN (SELECT id FROM calls)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY kind, level NULLS LAST, moment, call_id, content) - 1 AS position
+  FROM linked)
+SELECT conv_id, call_id, name, position, level, status, copies, problems,
+       '{"arguments":' || arguments || ',"call_id":' || to_json(call_id) || ',"name":' || coalesce(to_json(name)::VARCHAR, 'null')
+       || ',"position":' || position || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null')
+       || ',"status":' || to_json(status) || '}' AS json
+FROM placed
+"""

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import feistel, mixing, secret_scan
-from panelweave.llm import checks
+from panelweave.llm import decontaminate, feistel, jaccard_forest, mixing, quality_rules, secret_scan, tool_calls
+from panelweave.llm import checks, common
 from panelweave.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,19 @@ def query(name: str, check: str | None = None):
     return register
 
 
+@query("op2_quality_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged, _ = quality_rules.judge(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), carry=("doc_id",))
+    return judged.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reason")
+
+
+@query("op3_jaccard_forest")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_forest.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copies", "n_links")
+
+
 @query("op4_secret_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"), carry=("doc_id",))
@@ -37,6 +50,40 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What the two tools of op5 take.
+SCHEMAS = {
+    "configure": {"instruction": {"type": "string", "required": True, "min": 20, "max": 300},
+                  "words": {"type": "integer", "required": True, "min": 5}},
+    "reply": {"prompt": {"type": "string", "required": True, "min": 30, "max": 400},
+              "turn": {"type": "integer", "required": True, "max": 6},
+              "words": {"type": "integer", "required": True, "min": 5, "max": 60}},
+}
+
+
+def conversation_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns as tool traffic: a system or user turn is a call that waits for the one two turns earlier, an
+    assistant turn is the result of the call one turn earlier."""
+    ident = lambda back: F.concat_ws(":", F.col("conv_id"), F.col("turn") - back)
+    words = F.regexp_count("text", F.lit(common.WORD))
+    system = F.col("role") == "system"
+    arguments = F.when(system, F.to_json(F.struct(words.alias("words"), F.col("text").alias("instruction")))).otherwise(
+        F.to_json(F.struct(words.alias("words"), "turn", F.col("text").alias("prompt"))))
+    calls = messages.where(F.col("role").isin("system", "user")).select(
+        "conv_id", ident(0).alias("call_id"), ident(2).alias("after_id"),
+        F.when(system, "configure").otherwise("reply").alias("name"), arguments.alias("arguments"), "turn")
+    results = messages.where(F.col("role") == "assistant").select(
+        "conv_id", ident(1).alias("call_id"), F.col("text").alias("content"), "turn")
+    return calls, results
+
+
+@query("op5_tool_calls", checks.CALLS)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_calls(table(spark, sf_dir, "conversations"))
+    linked = tool_calls.link(calls, results, SCHEMAS)
+    return linked.select("conv_id", "call_id", "name", "position", "level", "status", "copies",
+                         F.array_join("problems", "; ").alias("problems"), "json")
+
+
 @query("op6_feistel_shards", checks.SHARDS)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = feistel.shard(table(spark, sf_dir, "documents"), 24, carry=("doc_id",))
@@ -46,6 +93,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op7_decontaminate")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 @query("op9_source_mix", checks.MIX)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(table(spark, sf_dir, "documents"), carry=("doc_id",))
