@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelweave.llm import decontaminate, feistel, jaccard_forest, mixing, quality_rules, secret_scan, tool_calls
+from panelweave.llm import (
+    decontaminate, feistel, jaccard_forest, language_id, learning, mixing, quality_mil, quality_rules, secret_scan, tool_calls,
+)
 from panelweave.llm import checks, common
 from panelweave.llm.common import table
 
@@ -98,7 +100,28 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+@query("op8_language_id")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = learning.fold(F.col("doc_id"), 3) == 1
+    model = language_id.learn(docs.where(~held_out).select(F.col("doc_id").alias("key"), "text", "lang"))
+    return language_id.identify(docs, model, carry=(F.col("doc_id"), held_out.alias("held_out")))
+
+
 @query("op9_source_mix", checks.MIX)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.mix(table(spark, sf_dir, "documents"), carry=("doc_id",))
     return drawn.select("row.doc_id", "size", "source_size", "target", "taken")
+
+
+#: Documents that score less are rejected.
+GOOD = 0.3
+
+
+@query("op10_quality_mil")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = learning.fold(F.col("doc_id"), 5) == 0
+    model = quality_mil.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    scored = quality_mil.score(docs, model, carry=(F.col("doc_id"), held_out.alias("held_out")))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))

@@ -60,25 +60,42 @@ class Words:
         return mixed(out), begin
 
 
-def word_hashes(texts: list[bytes]) -> Words:
+@dataclass
+class Text:
+    """Bytes of some documents with a line feed after each, and the words in them."""
+
+    data: np.ndarray
+    inside: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    first: np.ndarray
+
+    def hashes(self) -> np.ndarray:
+        """A hash for each word, from its bytes and length."""
+        if len(self.starts) == 0:
+            return np.zeros(0, dtype=np.uint64)
+        at, lengths = np.flatnonzero(self.inside), self.ends - self.starts
+        begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        place = np.arange(len(at)) - np.repeat(begin, lengths)
+        # beyond 64 bytes the multipliers repeat; the block number keeps the places apart
+        value = _BYTE[self.data[at]] * _PLACE[place & 63]
+        if (long := place >= 64).any():
+            value[long] = mixed(value[long], 1) * (place[long] >> 6).astype(np.uint64)
+        return mixed(np.add.reduceat(value, begin) + lengths.astype(np.uint64))
+
+
+def split(texts: list[bytes], word_bytes: np.ndarray = _IN_WORD) -> Text:
+    """Words are the runs of bytes for which ``word_bytes`` is true; no line feed may be one."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
-    inside = _IN_WORD[data]
+    inside = word_bytes[data]
     edges = np.flatnonzero(np.diff(inside, prepend=False))
-    starts, ends = edges[::2], edges[1::2]
     sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1
-    borders = np.concatenate(([0], np.cumsum(sizes)))
-    first = np.searchsorted(starts, borders)
-    if len(starts) == 0:
-        return Words(np.zeros(0, dtype=np.uint64), first)
-    at = np.flatnonzero(inside)
-    lengths = ends - starts
-    word_begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    place = np.arange(len(at)) - np.repeat(word_begin, lengths)
-    # beyond 64 bytes the multipliers repeat; the block number keeps the places apart
-    value = _BYTE[data[at]] * _PLACE[place & 63]
-    if (long := place >= 64).any():
-        value[long] = mixed(value[long], 1) * (place[long] >> 6).astype(np.uint64)
-    return Words(mixed(np.add.reduceat(value, word_begin) + lengths.astype(np.uint64)), first)
+    return Text(data, inside, edges[::2], edges[1::2], np.searchsorted(edges[::2], np.concatenate(([0], np.cumsum(sizes)))))
+
+
+def word_hashes(texts: list[bytes]) -> Words:
+    text = split(texts)
+    return Words(text.hashes(), text.first)
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
