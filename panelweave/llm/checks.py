@@ -1,8 +1,37 @@
 """SQL that gives the rows of a registered query on the same tables."""
 
 from panelweave.llm.feistel import FIRST, ROUNDS, SECOND, Permutation
+from panelweave.llm.line_dedup import LEAST_WORDS
 from panelweave.llm.mixing import SEED
 
+LINES = f"""
+WITH split AS (
+  SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i
+  FROM documents),
+worded AS (
+  SELECT doc_id, i, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS words FROM split),
+lines AS (
+  SELECT words, array_to_string(words, ' ') AS body, min((doc_id, i)) AS first FROM worded WHERE len(words) > 0 GROUP BY ALL),
+places AS (
+  SELECT first, words, body, unnest(range(len(words))) AS place FROM lines WHERE len(words) >= {LEAST_WORDS}),
+variants AS (
+  SELECT first, place, array_to_string(words[:place] || words[place + 2:], ' ') AS variant FROM places
+  UNION ALL SELECT first, -1, body FROM lines WHERE len(words) >= {LEAST_WORDS}),
+earliest AS (SELECT variant, place, min(first) AS least FROM variants GROUP BY ALL),
+around AS (
+  SELECT variant, min(least) FILTER (place < 0) AS whole, min(least) FILTER (place >= 0) AS shorter FROM earliest GROUP BY ALL),
+near AS (
+  SELECT DISTINCT first FROM variants JOIN earliest USING (variant, place) JOIN around USING (variant)
+  WHERE first > least OR (place < 0 AND first > shorter) OR (place >= 0 AND first > whole)),
+stays AS (SELECT first FROM lines WHERE first NOT IN (SELECT first FROM near)),
+marked AS (
+  SELECT s.*, len(w.words) > 0 AND (s.doc_id, s.i) NOT IN (SELECT first FROM stays) AS gone
+  FROM split s JOIN worded w ON s.doc_id = w.doc_id AND s.i = w.i)
+SELECT d.doc_id, count(m.i) AS n_lines, count(*) FILTER (m.gone) AS n_dropped,
+       CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(m.line, chr(10) ORDER BY m.i) FILTER (NOT m.gone), '') END AS text
+FROM documents d LEFT JOIN marked m ON d.doc_id = m.doc_id GROUP BY d.doc_id, d.text
+"""
+
 MIX = f"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.llm import (
-    decontaminate, feistel, jaccard_forest, language_id, learning, mixing, quality_mil, quality_rules, secret_scan, tool_calls,
+    decontaminate, feistel, jaccard_forest, language_id, learning, line_dedup, mixing, quality_mil, quality_rules,
+    secret_scan, tool_calls,
 )
 from panelweave.llm import checks, common
 from panelweave.llm.common import table
@@ -27,6 +28,12 @@ def query(name: str, check: str | None = None):
     return register
 
 
+@query("op1_line_dedup", checks.LINES)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).select("row.doc_id", "n_lines", "n_dropped", "text")
+
+
 @query("op2_quality_rules")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged, _ = quality_rules.judge(
