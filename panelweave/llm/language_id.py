@@ -205,16 +205,15 @@ def temperature(rows: DataFrame, model: Model, spark) -> float:
 
 
 def identify(docs: DataFrame, model: Model, *, text: str = "text", carry: tuple[Column, ...] = ()) -> DataFrame:
-    """The carried columns with ``lang_pred`` and ``score``, the calibrated probability of it.
+    """The carried columns as ``row``, with ``lang_pred`` and ``score``, the calibrated probability of it.
 
     Null texts and texts without a letter are "und" with score 0, as is every text if
     nothing was learned.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)
-    rows = docs.select(*carry, F.lower(docs[text]).alias("text"))
-    out_type = T.StructType([*(f for f in rows.schema.fields if f.name != "text"),
-                             T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    rows = docs.select(F.struct(*carry).alias("row"), F.lower(docs[text]).alias("text"))
+    out_type = T.StructType([rows.schema["row"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = held.value
@@ -226,8 +225,7 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", carry: tuple[
             if known.any():
                 p = _softmax(logits[known] / model.temperature)
                 best[known], score[known] = p.argmax(1), p.max(1)
-            kept = batch.drop_columns(["text"])
             yield pa.RecordBatch.from_arrays(
-                [*kept.columns, pa.array(names[best].tolist(), pa.string()), pa.array(score)], [*kept.schema.names, "lang_pred", "score"])
+                [batch.column("row"), pa.array(names[best].tolist(), pa.string()), pa.array(score)], ["row", "lang_pred", "score"])
 
     return rows.mapInArrow(predict, out_type)

@@ -170,18 +170,18 @@ def learn(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
 
 
 def score(docs: DataFrame, model: list[np.ndarray], *, text: str = "text", carry: tuple[Column, ...] = ()) -> DataFrame:
-    """The carried columns with ``score``: the probability of label 1, from all passages of the whole text.
+    """The carried columns as ``row``, with ``score``: the probability of label 1, from all passages of the whole text.
 
     Null and empty texts are a bag with one empty passage and are scored like any other.
+    An empty table gives an empty result.
     """
     held = docs.sparkSession.sparkContext.broadcast([p.astype(np.float64) for p in model])
-    rows = docs.select(*carry, docs[text].alias("text"))
-    out_type = T.StructType([*(f for f in rows.schema.fields if f.name != "text"), T.StructField("score", T.DoubleType())])
+    rows = docs.select(F.struct(*carry).alias("row"), docs[text].alias("text"))
+    out_type = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in S.chunks(batches, "text"):
             p, _ = forward(held.value, *encode(texts))
-            kept = batch.drop_columns(["text"])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(p)], [*kept.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(p)], ["row", "score"])
 
     return rows.mapInArrow(predict, out_type)

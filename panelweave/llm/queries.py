@@ -112,7 +112,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = learning.fold(F.col("doc_id"), 3) == 1
     model = language_id.learn(docs.where(~held_out).select(F.col("doc_id").alias("key"), "text", "lang"))
-    return language_id.identify(docs, model, carry=(F.col("doc_id"), held_out.alias("held_out")))
+    found = language_id.identify(docs, model, carry=(F.col("doc_id"), held_out.alias("held_out")))
+    return found.select("row.*", "lang_pred", "score")
 
 
 @query("op9_source_mix", checks.MIX)
@@ -131,4 +132,4 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = learning.fold(F.col("doc_id"), 5) == 0
     model = quality_mil.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
     scored = quality_mil.score(docs, model, carry=(F.col("doc_id"), held_out.alias("held_out")))
-    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+    return scored.select("row.*", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
