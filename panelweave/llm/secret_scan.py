@@ -195,7 +195,7 @@ def band(n: Column) -> Column:
 
 
 def thresholds(tokens: DataFrame) -> dict[tuple[int, int], int]:
-    """Per family the least level that Benjamini-Hochberg rejects; without a rejection, that of q over all tokens.
+    """Per family the level of the critical p-value q R / m of Benjamini-Hochberg, R being its rejections (or 1).
 
     What is gathered is one row a family: nine alphabets and four bands for each doubling of length.
     """
@@ -206,10 +206,9 @@ def thresholds(tokens: DataFrame) -> dict[tuple[int, int], int]:
         "rank", F.sum("tokens").over(group.orderBy(F.desc("level"))))
     rejected = F.pow(F.lit(10.0), -F.col("level") / STEPS) <= FALSE_SHARE * F.col("rank") / F.col("m")
     found = ranked.groupBy("alphabet", "band").agg(
-        F.min(F.when(rejected, F.col("level"))).alias("level"), F.max("m").alias("m"))
+        F.max(F.when(rejected, F.col("rank"))).alias("rejections"), F.max("m").alias("m"))
     return {
-        (r.alphabet, r.band): r.level if r.level is not None else math.ceil(STEPS * math.log10(r.m / FALSE_SHARE))
-        for r in found.collect()
+        (r.alphabet, r.band): math.ceil(STEPS * math.log10(r.m / (FALSE_SHARE * (r.rejections or 1)))) for r in found.collect()
     }
 
 
