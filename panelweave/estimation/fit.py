@@ -152,15 +152,13 @@ def gram(df: DataFrame, columns: list[str]) -> tuple[int, np.ndarray]:
     return int(scalars[0]), square
 
 
-def _levels(table: DataFrame, category: str, outcomes: list[str], most: int = 500) -> list[float]:
-    """Levels of the category in ascending order.
+def _levels(table: DataFrame, category: str, outcomes: list[str]) -> list[float]:
+    """Levels of the category in ascending order; each is a coefficient, so they are as few as those.
 
     A level whose rows all have the same outcome has no finite coefficient.
     """
     ends = [f(o).alias(f"{f.__name__}_{o}") for o in outcomes for f in (F.min, F.max)]
-    rows = table.groupBy(category).agg(*ends).limit(most + 1).collect()
-    if len(rows) > most:
-        raise EstimationError(f"{category} has more than {most} levels")
+    rows = table.groupBy(category).agg(*ends).collect()
     for row in rows:
         for o in outcomes:
             if row[f"min_{o}"] == row[f"max_{o}"]:

@@ -58,23 +58,27 @@ TERM_LABELS = {
     "plh0173": "Work Satisfaction",
 }
 
-# 15 industry sectors as code ranges of classification revisions 1 and 2.
+# 15 industry sectors with their codes in classification revisions 1 and 2.
 SECTORS = (
-    (1, "Agriculture, Forestry & Fishing", "1-2, 5", "1-3"),
-    (2, "Mining & Quarrying", "10-14", "5-9"),
-    (3, "Manufacturing", "15-37", "10-33"),
-    (4, "Utilities & Waste", "40-41", "35-39"),
-    (5, "Construction", "45", "41-43"),
-    (6, "Trade & Hospitality", "50-52, 55", "45-47, 55-56"),
-    (7, "Transport & Logistics", "60-63", "49-53"),
-    (8, "Information & Communication", "64, 72", "58-63"),
-    (9, "Finance & Insurance", "65-67", "64-66"),
-    (10, "Professional & Business Services", "70-71, 73-74", "68-75, 77-82"),
-    (11, "Public Administration", "75", "84"),
-    (12, "Education", "80", "85"),
-    (13, "Health & Social Work", "85", "86-88"),
-    (14, "Other Services", "90-93, 95-97", "90-98"),
-    (15, "Extra-territorial", "99", "99"),
+    (1, "Agriculture, Forestry & Fishing", (1, 2, 5), (1, 2, 3)),
+    (2, "Mining & Quarrying", (10, 11, 12, 13, 14), (5, 6, 7, 8, 9)),
+    (3, "Manufacturing",
+     (15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31, 32, 33, 34, 35, 36, 37),
+     (10, 11, 12, 13, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28, 29, 30, 31, 32, 33)),
+    (4, "Utilities & Waste", (40, 41), (35, 36, 37, 38, 39)),
+    (5, "Construction", (45,), (41, 42, 43)),
+    (6, "Trade & Hospitality", (50, 51, 52, 55), (45, 46, 47, 55, 56)),
+    (7, "Transport & Logistics", (60, 61, 62, 63), (49, 50, 51, 52, 53)),
+    (8, "Information & Communication", (64, 72), (58, 59, 60, 61, 62, 63)),
+    (9, "Finance & Insurance", (65, 66, 67), (64, 65, 66)),
+    (10, "Professional & Business Services",
+     (70, 71, 73, 74),
+     (68, 69, 70, 71, 72, 73, 74, 75, 77, 78, 79, 80, 81, 82)),
+    (11, "Public Administration", (75,), (84,)),
+    (12, "Education", (80,), (85,)),
+    (13, "Health & Social Work", (85,), (86, 87, 88)),
+    (14, "Other Services", (90, 91, 92, 93, 95, 96, 97), (90, 91, 92, 93, 94, 95, 96, 97, 98)),
+    (15, "Extra-territorial", (99,), (99,)),
 )
 
 # Federal states (code, name, short name).
@@ -129,7 +133,7 @@ VARIABLES = (
         ("e11101", "pequiv", "Annual work hrs", "hours", "continuous", ""),
         ("plb0193_h", "pl", "Overtime", "0/1", "continuous", ""),
         ("sector", "derived", "Industry Sector", "1--15", "categorical",
-         "Derived from p_nace (NACE Rev.1) and p_nace2 (NACE Rev.2)."),
+         "Comes from two industry codes: revision 1, then revision 2."),
     )),
 )
 

@@ -84,22 +84,16 @@ def first_version(versions: Iterable[tuple[Column, Mapping | None]]) -> Column:
 def category_of(name: str, categories: Iterable[tuple[int, Iterable[int]]]) -> Column:
     """Category id whose code list holds the column's value; null when no list does.
 
-    Codes are small whole numbers, so the lists become one constant array with
-    the code as its index: no join, and generated code stays short enough to be
+    The lists become two constant arrays, codes and the categories at the same
+    places: no join, any code, and generated code stays short enough to be
     compiled. Values between whole numbers are no codes.
     """
     by_code = {int(code): int(category) for category, codes in categories for code in codes}
     if not by_code:
         return F.expr("CAST(NULL AS INT)")
-    last = max(by_code)
-    if min(by_code) < 0 or last > 100_000:
-        raise ValueError("codes must lie between 0 and 100000")
-    table = ", ".join(str(by_code.get(code, "CAST(NULL AS INT)")) for code in range(last + 1))
-    value = f"CAST({quoted(name)} AS DOUBLE)"
-    return F.expr(
-        f"CASE WHEN {value} BETWEEN 0 AND {last} AND {value} = rint({value}) "
-        f"THEN get(array({table}), CAST({value} AS INT)) END"
-    )
+    codes = ", ".join(f"{code}D" for code in by_code)
+    found = ", ".join(map(str, by_code.values()))
+    return F.expr(f"get(array({found}), CAST(array_position(array({codes}), CAST({quoted(name)} AS DOUBLE)) AS INT) - 1)")
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.skew import HOT_ROWS, salted_left_join
+from panelweave.operators.skew import salted_left_join
 
 PERSON_KEY = ["pid", "syear"]
 HOUSEHOLD_KEY = ["hid", "syear"]
@@ -74,7 +74,7 @@ def add_household_tables(
     tables: list[DataFrame],
     keys: list[str] = HOUSEHOLD_KEY,
     members: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    split: int | None = None,
 ) -> DataFrame:
     """Left join of household-year tables onto the panel.
 
@@ -85,7 +85,7 @@ def add_household_tables(
     """
     for table in tables:
         known = check_unique(table.dropna(subset=keys), keys, "a household table")
-        panel = salted_left_join(panel, known, keys, PERSON_KEY, members, hot_rows)
+        panel = salted_left_join(panel, known, keys, PERSON_KEY, members, split)
     return panel
 
 

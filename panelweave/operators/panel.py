@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelweave.operators.skew import HOT_ROWS, salted_left_join
+from panelweave.operators.skew import salted_left_join
 
 
 def panel_size(df: DataFrame, waves: DataFrame, person: str = "pid") -> DataFrame:
@@ -50,7 +50,7 @@ def group_means(df: DataFrame, columns: Iterable[str], group: str = "pid") -> Da
 
 
 def add_group_means(
-    df: DataFrame, columns: Iterable[str], group: str = "pid", row: str = "syear", hot_rows: int = HOT_ROWS
+    df: DataFrame, columns: Iterable[str], group: str = "pid", row: str = "syear", split: int | None = None
 ) -> DataFrame:
     """Every row with the means of its group over the rows given (filter before, not after).
 
@@ -58,13 +58,13 @@ def add_group_means(
     the hot groups and for the join: stage it when it is expensive to compute.
     """
     means = group_means(df, columns, group).drop("n")
-    return salted_left_join(df, means, [group], [group, row], hot_rows=hot_rows)
+    return salted_left_join(df, means, [group], [group, row], split=split)
 
 
 def within_deviations(
-    df: DataFrame, columns: Iterable[str], group: str = "pid", row: str = "syear", hot_rows: int = HOT_ROWS
+    df: DataFrame, columns: Iterable[str], group: str = "pid", row: str = "syear", split: int | None = None
 ) -> DataFrame:
     """``<column>_within``: value minus group mean. Groups of one row become all zero and stay."""
     columns = list(columns)
-    with_means = add_group_means(df, columns, group, row, hot_rows)
+    with_means = add_group_means(df, columns, group, row, split)
     return with_means.withColumns({f"{c}_within": F.col(c) - F.col(f"{c}_mean") for c in columns})

@@ -2,30 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows of one key from which it is spread over several tasks.
-HOT_ROWS = 1_000_000
-# Hot keys are looked for in this many hash buckets, and at most so many kept in
-# each, so the list of hot keys has at most BUCKETS * PER_BUCKET rows.
-BUCKETS, PER_BUCKET, TRACKED = 64, 100, 10_000
+# A table counts as this many pieces for each shuffle partition; a key is hot if it has more rows than a piece.
+PIECES_PER_TASK = 4
+# Keys are counted in this many hash buckets, by as many tasks.
+BUCKETS = 64
+# What the sketch can list and track.
+LISTED, TRACKED = 100_000, 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with at least about ``hot_rows`` rows and the number of parts each is split into.
+def pieces(df: DataFrame) -> int:
+    return min(LISTED, PIECES_PER_TASK * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-    A frequent-items sketch per bucket is merged map-side, so no row is shuffled.
-    Its counts may be too high by a few millionths of the table; that only
-    splits a key which did not need it.
+
+def hot_keys(df: DataFrame, key: str, split: int | None = None) -> DataFrame:
+    """Keys with more than a piece of all rows, and the number of parts each is split into.
+
+    The table counts as ``split`` pieces (four for each shuffle partition), so at
+    most ``split`` keys can hold more than one: the list is bounded by arithmetic and
+    leaves no such key out. A frequent-items sketch per bucket, which tracks many
+    times as many keys, is merged map-side, so no row is shuffled. Its counts are off by
+    a fraction of a piece at most, which may split a key that did not need it.
     """
-    top = f"approx_top_k(`{key}`, {PER_BUCKET}, {TRACKED})"
-    return (
-        df.select(key).dropna()
-        .groupBy(F.pmod(F.hash(key), F.lit(BUCKETS)).alias("_bucket")).agg(F.expr(top).alias("_top"))
-        .select(F.inline("_top")).filter(F.col("count") >= hot_rows)
-        .select(F.col("item").alias(key), F.ceil(F.col("count") / hot_rows).cast("int").alias("_parts"))
-    )
+    split = split or pieces(df)
+    top = f"approx_top_k(`{key}`, {split}, {min(TRACKED, 16 * split)})"
+    known = df.select(key).dropna()
+    counted = known.groupBy(F.pmod(F.hash(key), F.lit(BUCKETS)).alias("_bucket")).agg(
+        F.expr(top).alias("_top"), F.count("*").alias("_n"))
+    # one row a bucket
+    piece = F.sum("_n").over(Window.partitionBy()) / F.lit(split)
+    return counted.withColumn("_piece", piece).select("_piece", F.inline("_top")).filter(
+        F.col("count") > F.col("_piece")
+    ).select(F.col("item").alias(key), F.ceil(F.col("count") / F.col("_piece")).cast("int").alias("_parts"))
 
 
 def salted_left_join(
@@ -34,7 +44,7 @@ def salted_left_join(
     keys: list[str],
     row_key: list[str],
     seen: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    split: int | None = None,
 ) -> DataFrame:
     """Left join to a table unique on ``keys``; rows of hot keys go to several tasks.
 
@@ -44,8 +54,8 @@ def salted_left_join(
     so a repeated task gives the same result.
     """
     key = keys[0]
-    # at most BUCKETS * PER_BUCKET rows
-    hot = F.broadcast(hot_keys(left if seen is None else seen, key, hot_rows))
+    # at most ``split`` rows
+    hot = F.broadcast(hot_keys(left if seen is None else seen, key, split))
     row_hash = F.xxhash64(*row_key)
     salted = left.join(hot, key, "left").withColumn(
         "_salt",

@@ -44,15 +44,6 @@ class Sector:
     rev2: tuple[int, ...]
 
 
-def expand_ranges(text: str) -> tuple[int, ...]:
-    """``"1-2, 5"`` → ``(1, 2, 5)``."""
-    codes: list[int] = []
-    for part in text.split(","):
-        low, _, high = part.strip().partition("-")
-        codes.extend(range(int(low), int(high or low) + 1))
-    return tuple(codes)
-
-
 @dataclass(frozen=True)
 class Registry:
     variables: dict[str, tuple[Variable, ...]]
@@ -73,20 +64,19 @@ class Registry:
             panels=tuple((key, label) for key, label, _ in fixed.VARIABLES),
             harmonised=tuple(Harmonised(*row) for row in fixed.HARMONISED),
             derived=tuple(Derived(*row) for row in fixed.DERIVED),
-            sectors=tuple(
-                Sector(i, label, expand_ranges(rev1), expand_ranges(rev2))
-                for i, label, rev1, rev2 in fixed.SECTORS
-            ),
+            sectors=tuple(Sector(*row) for row in fixed.SECTORS),
             study_years=fixed.STUDY_YEARS,
             key_files=dict(fixed.KEY_FILES),
         )
         return replace(registry, **overrides)
 
     @classmethod
-    def from_json(cls, path: str) -> "Registry":
-        """Load a study configuration file."""
+    def from_json(cls, path: str, folder_key: str = "survey_dir") -> "Registry":
+        """Load a study configuration file; ``folder_key`` names the entry of ``data`` with the folder of the files."""
         with open(path, encoding="utf-8") as handle:
             doc = json.load(handle)
+        if folder_key not in doc.get("data", {}):
+            raise KeyError(f"{path}: section data has no entry {folder_key!r} for the folder of the survey files")
 
         def recode(source):
             pairs = source.get("recode")
@@ -117,7 +107,7 @@ class Registry:
                 for s in doc.get("nace_sectors", [])
             ),
             study_years=tuple(doc.get("study", {}).get("study_years", [])),
-            survey_dir=doc.get("data", {}).get("survey_dir", "."),
+            survey_dir=doc["data"][folder_key],
             key_files=dict(doc.get("data", {}).get("key_files", {})),
         )
 

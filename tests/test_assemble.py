@@ -64,9 +64,18 @@ def test_hot_keys_are_spread(spark, rows):
         spark.createDataFrame([(7, 70)], "k long, w long")
     )
     plain = left.join(right, "k", "left").select("k", "v", "w")
-    salted = skew.salted_left_join(left, right, ["k"], ["k", "v"], hot_rows=100)
+    salted = skew.salted_left_join(left, right, ["k"], ["k", "v"], split=25)
     assert rows(salted) == rows(plain)
-    assert rows(skew.hot_keys(left, "k", 100)) == [(7, 11)]  # 1001 rows
+    # 2,800 rows with a key, of which 1,001 have this one
+    assert rows(skew.hot_keys(left, "k", 25)) == [(7, 9)]
+
+
+def test_no_hot_key_is_left_out(spark, rows):
+    """Far more hot keys than a short list would hold; all are found at the default share of a small cluster."""
+    left = spark.range(900_000).select(
+        F.when(F.col("id") < 800_000, F.pmod("id", F.lit(8000))).otherwise(F.col("id")).alias("k"))
+    hot = skew.hot_keys(left, "k", 12_000)
+    assert rows(hot) == [(k, 2) for k in range(8000)]
 
 
 def test_hot_household(spark, rows):
@@ -78,7 +87,7 @@ def test_hot_household(spark, rows):
     homes = spark.range(0, 2000, 5).union(spark.createDataFrame([(7,)], "id long")).select(
         F.col("id").alias("hid"), F.explode(F.array(*map(F.lit, (2000, 2001, 2002)))).alias("syear")
     ).withColumn("m", F.col("hid") * 10 + F.col("syear"))
-    got = assemble.add_household_tables(people, [homes], hot_rows=50)
+    got = assemble.add_household_tables(people, [homes], split=20)
     want = people.join(homes, ["hid", "syear"], "left").select(*got.columns)
     assert rows(got) == rows(want)
 
@@ -99,7 +108,7 @@ def test_hot_group_means(spark, rows):
         F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("pid"),
         F.col("id").alias("syear"), (F.col("id") * 1.0).alias("x"),
     )
-    got = panel.add_group_means(df, ["x"], hot_rows=50)
+    got = panel.add_group_means(df, ["x"], split=20)
     want = df.selectExpr("pid", "syear", "x", "avg(x) over (partition by pid) as x_mean")
     assert rows(got) == rows(want)
 

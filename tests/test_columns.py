@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelweave.functions import columns as C
 from panelweave.operators import derive
-from panelweave.registry import Registry, expand_ranges
+from panelweave.registry import Registry
 
 
 def values(df, expression):
@@ -96,8 +96,8 @@ def test_dummies(spark):
     got = derive.treatment_dummies(frame(spark, [3.0, 1.0, 2.0, None], "double"), "c")
     assert got.columns == ["i", "c", "c_2", "c_3"]
     assert values(got, F.struct("c_2", "c_3")) == [(0.0, 1.0), (0.0, 0.0), (1.0, 0.0), (None, None)]
-    with pytest.raises(ValueError):
-        derive.category_levels(spark.range(20).toDF("c"), "c", most=10)
+    many = derive.treatment_dummies(spark.range(600).select((F.col("id") * 1.0).alias("c")), "c")
+    assert len(many.columns) == 600 and many.agg(F.sum("c_599")).first()[0] == 1.0
 
 
 def test_text_formats(spark):
@@ -116,8 +116,14 @@ def test_labels(spark):
     assert values(names, C.label_text(F.col("c"), {"x": "X"})) == ["X", "y"]
 
 
-def test_expand_ranges():
-    assert expand_ranges("1-3, 5, 10-11") == (1, 2, 3, 5, 10, 11)
+def test_any_code(spark):
+    """Codes of any size and sign."""
+    codes = frame(spark, [250_000.0, -20.0, 7.0, 7.5, 0.0, None], "double")
+    assert values(codes, C.category_of("c", [(1, (250_000, 7)), (2, (-20,))])) == [1, 2, 1, None, None, None]
+    assert values(codes, C.category_of("c", [])) == [None] * 6
+
+
+def test_sectors():
     sectors = Registry.default().sectors
     for codes in ([c for s in sectors for c in s.rev1], [c for s in sectors for c in s.rev2]):
         assert len(codes) == len(set(codes))

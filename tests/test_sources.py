@@ -114,6 +114,14 @@ def test_read_variable(spark, survey, rows):
     assert homes.columns == ["hid", "syear", "hlf0019_h"]
 
 
+def test_config_without_folder(tmp_path):
+    path = tmp_path / "study.json"
+    path.write_text(json.dumps({"data": {"files_dir": "/x"}, "variables": {}}))
+    with pytest.raises(KeyError, match="survey_dir"):
+        Registry.from_json(str(path))
+    assert Registry.from_json(str(path), folder_key="files_dir").survey_dir == "/x"
+
+
 def test_registry_from_json(tmp_path):
     doc = {
         "data": {"survey_dir": "/data", "key_files": {"pl": "people.csv"}},

@@ -5,7 +5,9 @@ customer is a person, an order year a survey year, two neighbouring customers a
 household. The values carry what real survey files carry: missing codes, both
 versions of a question, both industry classifications, households of size 0,
 incomes below 1, codes outside the classification, and person-years one source
-knows and another does not (the WHERE clauses stand for non-response).
+knows and another does not: some orders count for the year after or before in
+one dataset, as answers of a late or an early interview. Every row of the given
+tables is used.
 """
 
 from __future__ import annotations
@@ -15,7 +17,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 
 from panelweave.fixed_values import SECTORS
-from panelweave.registry import Registry, expand_ranges
+from panelweave.registry import Registry
 from panelweave.sources.tables import clean_values, harmonise, typed_keys
 
 STUDY_YEARS = (1996, 1997, 1998, 1999, 2000)
@@ -29,8 +31,9 @@ SELECT pid, syear,
   1 + CAST(pid % 2 AS INT) AS sex,
   CASE WHEN pid % 23 = 0 THEN -1 ELSE CAST((pid + syear) % 6 AS INT) END AS partner,
   CASE WHEN pid % 10 < 7 THEN 1 WHEN pid % 10 < 9 THEN 2 ELSE 3 END AS migback
-FROM (SELECT DISTINCT o_custkey AS pid, CAST(year(o_orderdate) AS INT) AS syear
-      FROM {orders} WHERE o_totalprice >= 20000) t""",
+FROM (SELECT DISTINCT o_custkey AS pid,
+             CAST(year(o_orderdate) + CASE WHEN o_totalprice < 20000 THEN 1 ELSE 0 END AS INT) AS syear
+      FROM {orders}) t""",
     "pl": """
 SELECT pid, syear,
   CASE WHEN k % 13 = 0 THEN -1 WHEN k % 13 = 1 THEN -8
@@ -39,8 +42,10 @@ SELECT pid, syear,
   CASE WHEN syear < 1998 THEN 1 + CAST(k % 2 AS INT) ELSE -5 END AS plb0193_v1,
   CASE WHEN syear >= 1998 THEN 1 + CAST(k % 2 AS INT) ELSE -5 END AS plb0193_v2,
   CASE WHEN k % 19 = 0 THEN -1 ELSE CAST(k % 11 AS INT) END AS plh0173
-FROM (SELECT o_custkey AS pid, CAST(year(o_orderdate) AS INT) AS syear, min(o_orderkey) AS k
-      FROM {orders} WHERE o_orderpriority <> '5-LOW' GROUP BY 1, 2) t""",
+FROM (SELECT o_custkey AS pid,
+             CAST(year(o_orderdate) + CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END AS INT) AS syear,
+             min(o_orderkey) AS k
+      FROM {orders} GROUP BY 1, 2) t""",
     "pgen": """
 SELECT pid, syear,
   1 + CAST(k % 6 AS INT) AS pgisced97,
@@ -48,8 +53,10 @@ SELECT pid, syear,
   CASE WHEN k % 10 < 8 THEN 1 ELSE CAST(k % 10 AS INT) - 6 END AS pgemplst,
   CASE WHEN syear < 1999 THEN 1 + CAST(k % 99 AS INT) ELSE -8 END AS pgnace,
   CASE WHEN syear >= 1998 THEN 1 + CAST(k % 99 AS INT) ELSE -8 END AS pgnace2
-FROM (SELECT o_custkey AS pid, CAST(year(o_orderdate) AS INT) AS syear, max(o_orderkey) AS k
-      FROM {orders} WHERE o_orderpriority <> '1-URGENT' GROUP BY 1, 2) t""",
+FROM (SELECT o_custkey AS pid,
+             CAST(year(o_orderdate) - CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END AS INT) AS syear,
+             max(o_orderkey) AS k
+      FROM {orders} GROUP BY 1, 2) t""",
     "pequiv": """
 SELECT o.o_custkey AS pid, CAST(year(o.o_orderdate) AS INT) AS syear,
   CAST(min(l.l_orderkey) % 5 AS INT) AS d11106,
@@ -63,8 +70,8 @@ GROUP BY o.o_custkey, CAST(year(o.o_orderdate) AS INT)""",
 SELECT hid, syear,
   CASE WHEN (hid + syear) % 29 = 0 THEN -1 ELSE 30 + CAST((hid * 7 + syear) % 170 AS INT) END AS hlf0019_h
 FROM (SELECT DISTINCT CAST((o_custkey - o_custkey % 2) / 2 AS BIGINT) AS hid,
-             CAST(year(o_orderdate) AS INT) AS syear
-      FROM {orders} WHERE o_orderpriority <> '3-MEDIUM') t""",
+             CAST(year(o_orderdate) + CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1 ELSE 0 END AS INT) AS syear
+      FROM {orders}) t""",
     # answers as text, the way survey files hold them
     "answers": """
 SELECT o_orderkey AS id, o_custkey AS pid, CAST(year(o_orderdate) AS INT) AS syear,
@@ -137,12 +144,8 @@ def _cleaned(column: str) -> str:
     return f"CASE WHEN {column} NOT IN (-8,-7,-6,-5,-4,-3,-2,-1) THEN CAST({column} AS DOUBLE) END"
 
 
-def _codes(text: str) -> str:
-    return ", ".join(str(c) for c in expand_ranges(text))
-
-
 def _sector_case(column: str, which: int) -> str:
-    branches = " ".join(f"WHEN {column} IN ({_codes(row[which])}) THEN {row[0]}" for row in SECTORS)
+    branches = " ".join(f"WHEN {column} IN ({", ".join(map(str, row[which]))}) THEN {row[0]}" for row in SECTORS)
     return f"CASE {branches} END"
 
 
