@@ -55,10 +55,18 @@ def clean(name: str, text: bool = True) -> Column:
     return F.expr(without_codes_sql(value))
 
 
+def whole_number_sql(name: str) -> str:
+    return f"coalesce(TRY_CAST({quoted(name)} AS BIGINT), CAST({number_sql(name)} AS BIGINT))"
+
+
+def whole_number(name: str) -> Column:
+    """Column as whole numbers, also when written as ``12.0``; anything that is not a number as null."""
+    return F.expr(whole_number_sql(name))
+
+
 def identifier(name: str) -> Column:
     """Whole-number id, also when written as ``12.0``; missing-answer codes as null."""
-    value = f"coalesce(TRY_CAST({quoted(name)} AS BIGINT), CAST({number_sql(name)} AS BIGINT))"
-    return F.expr(without_codes_sql(value))
+    return F.expr(without_codes_sql(whole_number_sql(name)))
 
 
 def recode(value: Column, mapping: Mapping, unlisted: str = "keep") -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
@@ -16,15 +17,19 @@ def scan_csv(spark: SparkSession, path: str, columns: Iterable[str]) -> DataFram
     """Wanted columns of a CSV file as text, names matched without case and lower-cased.
 
     Columns the file lacks are left out. A folder of files counts as one file;
-    its files must agree in their headers, otherwise the job fails.
+    its files must agree in their headers, otherwise the job fails. A doubled quote
+    in a quoted field is a quote. A field holds no line break, so that large files
+    can be read by many tasks.
     """
     wanted = {c.lower() for c in columns}
-    raw = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("enforceSchema", False).option("escape", '"').csv(path)
     return raw.select([F.col(f"`{c}`").alias(c.lower()) for c in raw.columns if c.lower() in wanted])
 
 
 def typed_keys(df: DataFrame, key: str) -> DataFrame:
-    return df.withColumns({key: F.col(key).cast("long"), "syear": F.col("syear").cast("int")})
+    """Entity id and year as whole numbers, also when written as ``12.0``."""
+    whole = {c: C.whole_number(c) for c in (key, "syear") if c in df.columns}
+    return df.withColumns(whole).withColumns({c: F.col(c).cast("int") for c in whole if c == "syear"})
 
 
 def clean_values(df: DataFrame, key: str) -> DataFrame:
@@ -69,6 +74,23 @@ def write_by_year(df: DataFrame, path: str) -> None:
     df.hint("rebalance", "syear").write.mode("overwrite").partitionBy("syear").parquet(path)
 
 
+def replace_table(spark: SparkSession, path: str, write) -> None:
+    """``write`` a table beside ``path``, then put it there; the one before is kept until the next time.
+
+    A job that fails leaves the table as it was, and who reads the old files at that
+    moment can go on.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    here, before, new = (hadoop.Path(path + suffix) for suffix in ("", ".before", f".new-{uuid.uuid4().hex}"))
+    files = here.getFileSystem(spark._jsc.hadoopConfiguration())
+    write(new.toString())
+    files.delete(before, True)
+    if files.exists(here) and not files.rename(here, before):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(new, here):
+        raise OSError(f"cannot put the new table at {path}")
+
+
 def table_path(folder: str, dataset: str) -> str:
     return f"{folder.rstrip('/')}/{dataset}.parquet"
 
@@ -99,7 +121,7 @@ def refresh(spark: SparkSession, registry: Registry, folder: str, when: str = "s
             when == "missing" or registry.stored_columns(dataset) <= set(schema.names)
         ):
             continue
-        write_by_year(extract(spark, registry, dataset), path)
+        replace_table(spark, path, lambda to: write_by_year(extract(spark, registry, dataset), to))
         done.append(dataset)
     return done
 
@@ -128,9 +150,15 @@ def with_labels(df: DataFrame, registry: Registry) -> DataFrame:
     return df
 
 
+def label_table(spark: SparkSession, registry: Registry) -> DataFrame:
+    """Column names and their labels; one row a variable."""
+    return spark.createDataFrame(list(registry.labels().items()), "variable string, label string")
+
+
 def save_master(df: DataFrame, path: str, registry: Registry | None = None) -> DataFrame:
     """Write the master panel and hand back the same rows, read from the written table."""
-    write_by_year(with_labels(df, registry) if registry else df, path)
+    labelled = with_labels(df, registry) if registry else df
+    replace_table(df.sparkSession, path, lambda to: write_by_year(labelled, to))
     return df.sparkSession.read.parquet(path).select(df.columns)
 
 
@@ -149,11 +177,21 @@ def export_views(master: DataFrame, willing: str = "plb0097") -> dict[str, DataF
     }
 
 
+def save_views(master: DataFrame, folder: str) -> dict[str, DataFrame]:
+    """Write the three views as tables by year and read them back."""
+    spark, written = master.sparkSession, {}
+    for name, view in export_views(master).items():
+        path = table_path(folder, name)
+        replace_table(spark, path, lambda to, view=view: write_by_year(view, to))
+        written[name] = spark.read.parquet(path).select(master.columns)
+    return written
+
+
 def read_variable(spark: SparkSession, path: str, variable: str, key: str = "pid") -> DataFrame:
-    """Key, year and one cleaned variable."""
+    """Key and year as whole numbers, and one cleaned variable; without it where the file lacks the variable."""
     variable = variable.lower()
-    df = scan_csv(spark, path, [key, "syear", variable])
-    if variable not in df.columns:
+    df = typed_keys(scan_csv(spark, path, [key, "syear", variable]), key)
+    if variable not in df.columns or variable in (key, "syear"):
         return df
     return df.withColumn(variable, C.clean(variable))
 

@@ -75,7 +75,7 @@ def test_no_hot_key_is_left_out(spark, rows):
     left = spark.range(900_000).select(
         F.when(F.col("id") < 800_000, F.pmod("id", F.lit(8000))).otherwise(F.col("id")).alias("k"))
     hot = skew.hot_keys(left, "k", 12_000)
-    assert rows(hot) == [(k, 2) for k in range(8000)]
+    assert set(rows(hot)) == {(k, 2) for k in range(8000)}
 
 
 def test_hot_household(spark, rows):

@@ -108,12 +108,50 @@ def test_master_from_files(spark, survey, rows):
 def test_read_variable(spark, survey, rows):
     registry, _ = survey
     got = tables.read_variable(spark, registry.csv_path("pl"), "PLH0173")
-    assert rows(got, "pid", "plh0173") == [("1", 7.0), ("2", None), ("3", None), ("4", 5.0)]
+    assert rows(got, "pid", "plh0173") == [(1, 7.0), (2, None), (3, None), (4, 5.0)]
     assert tables.read_variable(spark, registry.csv_path("pl"), "nope").columns == ["pid", "syear"]
     homes = tables.read_variable(spark, registry.csv_path("hl"), "hlf0019_h", key="hid")
     assert homes.columns == ["hid", "syear", "hlf0019_h"]
 
 
+def test_keys_written_as_decimals(spark, tmp_path, rows):
+    (tmp_path / "x.csv").write_text('PID,Syear,Other,V\n12.0,2010.0,"a ""b"", c",1\nx,2011,,-1\n7,,z,2.5\n')
+    got = tables.read_variable(spark, str(tmp_path / "x.csv"), "v")
+    assert got.dtypes == [("pid", "bigint"), ("syear", "int"), ("v", "double")]
+    assert rows(got) == [(12, 2010, 1.0), (7, None, 2.5), (None, 2011, None)]
+    text = tables.scan_csv(spark, str(tmp_path / "x.csv"), ["other"])
+    assert rows(text) == [('a "b", c',), ("z",), (None,)]
+
+
+def test_refresh_leaves_the_old_table_until_the_new_one_is_written(spark, tmp_path, rows):
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+
+    def fails(to):
+        spark.range(1).write.parquet(to)
+        raise RuntimeError("stopped")
+
+    with pytest.raises(RuntimeError):
+        tables.replace_table(spark, path, fails)
+    assert spark.read.parquet(path).count() == 3
+    reader = spark.read.parquet(path + ".before") if (tmp_path / "t.parquet.before").exists() else None
+    assert reader is None
+    for n in (5, 6):
+        tables.replace_table(spark, path, lambda to: spark.range(n).write.parquet(to))
+        assert spark.read.parquet(path).count() == n
+    assert spark.read.parquet(path + ".before").count() == 5
+
+
+def test_views_and_labels_as_tables(spark, survey, tmp_path, rows):
+    registry, folder = survey
+    master = build_master(spark, registry, folder)
+    views = tables.save_views(master, str(tmp_path / "views"))
+    assert {k: v.count() for k, v in views.items()} == {"full": 2, "complete": 1, "eligible": 1}
+    assert views["full"].columns == master.columns and (tmp_path / "views" / "full.parquet").exists()
+    labels = dict(rows(tables.label_table(spark, registry)))
+    assert labels["syear"] == "Survey Year" and labels == registry.labels()
+
+
 def test_config_without_folder(tmp_path):
     path = tmp_path / "study.json"
     path.write_text(json.dumps({"data": {"files_dir": "/x"}, "variables": {}}))
@@ -170,6 +208,18 @@ def codebooks(tmp_path):
     return str(tmp_path)
 
 
+def test_odd_codebook_rows(spark, tmp_path, rows):
+    """Line breaks, doubled quotes and very long labels in quotes; short and long rows."""
+    long = '""'.join("x" * 7 for _ in range(3000))
+    (tmp_path / "b_values.csv").write_text(
+        f's,d,1,v,1,"two\nlines, one ""label""",x\n\ns,d,1,v,2,"{long}"\ns,d,1,"v,\nw",3\ns,d,1,v,4,a,b,more\ns,d,1,v,5,,\n')
+    book = codebook_files.read_values(spark, str(tmp_path))
+    assert rows(book, "value", "label", "label_de") == [
+        ("1", 'two\nlines, one "label"', "x"), ("2", long.replace('""', '"'), ""), ("4", "a", "b"), ("5", "", "")]
+    assert [r.value for r in book.orderBy("position").collect()] == ["1", "2", "4", "5"]
+    assert book.select("variable").count() == 4
+
+
 def test_search(spark, codebooks, rows):
     book = codebook_files.read_variables(spark, codebooks)
     assert book.count() == 5  # the three-field line is dropped, the header kept
@@ -206,7 +256,7 @@ def test_value_labels(spark, codebooks, rows):
 
 def test_profile(spark, survey, codebooks, rows):
     registry, _ = survey
-    data = tables.read_variable(spark, registry.csv_path("pl"), "plh0173").withColumn("syear", F.col("syear").cast("int"))
+    data = tables.read_variable(spark, registry.csv_path("pl"), "plh0173")
     labels = codebook.value_label_map(codebook_files.read_values(spark, codebooks), "plb0097", "pl")
     parts = codebook.profile(data, "plh0173", labels)
     assert set(parts) == {"missing", "statistics", "by_year", "scale"}

@@ -2,11 +2,12 @@
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from panelweave.plans.master import build_master
-from panelweave.session import stage_folder
+from panelweave.session import stage, stage_folder
 from panelweave.sources import tables
 from workload.catalog import query
 from workload.frames import REGISTRY, frame
@@ -14,11 +15,12 @@ from workload.joining import MASTER_COLUMNS
 
 
 def _survey_files(spark, sf_dir, names):
-    """A registry whose files are CSV copies of the derived datasets."""
+    """A registry whose files are CSV copies of the derived datasets, one of them under another name."""
     folder = f"{stage_folder(spark)}/files-{uuid.uuid4().hex}"
+    registry = replace(REGISTRY, survey_dir=folder, key_files={"pl": "persons_long.csv"})
     for name in names:
-        frame(spark, sf_dir, name).write.option("header", True).csv(f"{folder}/{name}.csv")
-    return replace(REGISTRY, survey_dir=folder, key_files={})
+        frame(spark, sf_dir, name).write.option("header", True).csv(registry.csv_path(name))
+    return registry
 
 
 @query("extract_csv", "SELECT pid, syear, plb0097, plb0095_v1, plh0173, plb0193_h FROM c_pl")
@@ -29,7 +31,7 @@ def extract_csv(spark, sf_dir):
     )
 
 
-@query("read_variable", "SELECT CAST(pid AS VARCHAR) AS pid, CAST(syear AS VARCHAR) AS syear, plh0173 FROM c_pl")
+@query("read_variable", "SELECT pid, syear, plh0173 FROM c_pl")
 def read_variable(spark, sf_dir):
     registry = _survey_files(spark, sf_dir, ["pl"])
     return tables.read_variable(spark, registry.csv_path("pl"), "plh0173")
@@ -47,9 +49,41 @@ def stored_tables(spark, sf_dir):
     return homes
 
 
+@query("refreshed_tables", """
+    SELECT 'missing' AS mode, false AS had_table, count(*) AS persons, sum(plh0173) AS total FROM c_pl
+    UNION ALL SELECT 'missing', true, count(*), sum(plh0173) FROM c_pl
+    UNION ALL SELECT 'stale', true, count(*), sum(plh0173) FROM c_pl
+    UNION ALL SELECT 'force', true, count(*), sum(plh0173) FROM c_pl""")
+def refreshed_tables(spark, sf_dir):
+    """Each refresh mode on missing tables, tables without a needed column, and good ones."""
+    registry = _survey_files(spark, sf_dir, list(REGISTRY.raw_columns()))
+    folder = f"{registry.survey_dir}/tables"
+    everything = registry.datasets()
+    parts = []
+
+    def refreshed(mode, had_table, expected):
+        if tables.refresh(spark, registry, folder, mode) != expected:
+            raise AssertionError(f"{mode}: other tables than expected were extracted")
+        person, _ = tables.load(spark, registry, folder)
+        pl = next(t for t in person if "plh0173" in t.columns)
+        parts.append(stage(pl.agg(F.count("*").alias("persons"), F.sum("plh0173").alias("total")).select(
+            F.lit(mode).alias("mode"), F.lit(had_table).alias("had_table"), "persons", "total"), "refreshed"))
+
+    refreshed("missing", False, everything)
+    refreshed("missing", True, [])
+    path = tables.table_path(folder, "pl")
+    slim = stage(spark.read.parquet(path).drop("plh0173"), "slim")
+    tables.replace_table(spark, path, lambda to: tables.write_by_year(slim, to))
+    refreshed("stale", True, ["pl"])
+    refreshed("force", True, everything)
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 @query("master_from_files", f"""
     SELECT {MASTER_COLUMNS}, round(sqm_per_head, 6) AS sqm_per_head, CAST(sector AS INT) AS sector FROM master""")
 def master_from_files(spark, sf_dir):
     registry = _survey_files(spark, sf_dir, list(REGISTRY.raw_columns()))
-    master = build_master(spark, registry, f"{registry.survey_dir}/tables")
+    folder = f"{registry.survey_dir}/tables"
+    build_master(spark, registry, folder)
+    master = tables.load_master(spark, f"{folder}/master.parquet")
     return master.select(*MASTER_COLUMNS.split(", "), F.round("sqm_per_head", 6).alias("sqm_per_head"), "sector")
