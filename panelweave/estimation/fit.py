@@ -2,8 +2,10 @@
 
 All models of a suite are fitted together: one pass over the rows per Newton
 step serves every model that has not converged, and one more pass adds up the
-score vectors per person. Only sums as large as the coefficient vector squared
-reach the driver.
+score vectors per person. Rows are written once, sorted by person over the whole
+cluster, so that pass needs no shuffle of scores: a task sums up whole persons, and
+only persons cut by the end of a file are put together afterwards. Only sums as
+large as the coefficient vector squared reach the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelweave.estimation import kernels
+from panelweave.session import staged
 
 # workers need not have the package installed
 cloudpickle.register_pickle_by_value(kernels)
@@ -177,18 +180,28 @@ def fit_models(
 ) -> list[Fit]:
     """Fit all specs on the rows of ``table``, clustered by ``cluster``.
 
-    ``table`` should be cheap to read again (a staged or stored table): it is
-    read once per Newton step. A regressor or outcome ``<v>_within`` needs the
-    columns ``<v>`` and ``<v>_mean``.
+    ``table`` is read once or twice; the columns that the models need are written,
+    sorted by cluster, and read once per Newton step. A regressor or outcome
+    ``<v>_within`` needs the columns ``<v>`` and ``<v>_mean``.
     """
+    used = list(dict.fromkeys(c for s in specs for c in s.regressors))
+    differences = {c: _parts(c) for c in used if len(_parts(c)) == 2}
+    outcomes = [c for s in specs for c in _parts(s.outcome)]
+    by_sector = [category] if any(s.sector for s in specs) else []
+    needed = dict.fromkeys([c for u in used for c in _parts(u)] + outcomes + by_sector)
+    narrow = table.select(cluster, *[F.col(c).cast("double").alias(c) for c in needed])
+    # rows of one cluster lie next to each other; one with very many rows goes over several files
+    order = [F.col(cluster), F.xxhash64(*needed)]
+    with staged(narrow.repartitionByRange(*order).sortWithinPartitions(cluster), "design") as rows:
+        return _fitted(rows, specs, cluster, category, used, differences, outcomes)
+
+
+def _fitted(rows, specs, cluster, category, used, differences, outcomes) -> list[Fit]:
     levels: list[float] = []
     by_sector = [s for s in specs if s.sector]
     if by_sector:
-        levels = _levels(table, category, sorted({s.outcome for s in by_sector}))
-    used = list(dict.fromkeys(c for s in specs for c in s.regressors))
-    differences = {c: _parts(c) for c in used if len(_parts(c)) == 2}
+        levels = _levels(rows, category, sorted({s.outcome for s in by_sector}))
     columns = [c for c in used if c not in differences]
-    outcomes = [c for s in specs for c in _parts(s.outcome)]
     design = kernels.Design(columns, differences, outcomes, category, levels[1:])
     place = {t: i for i, t in enumerate(design.terms)}
     dummies = design.terms[1 + len(used):]
@@ -198,14 +211,15 @@ def fit_models(
     equations = {
         m: kernels.Equation(s.link, _parts(s.outcome), [place[t] for t in terms[m]]) for m, s in enumerate(specs)
     }
-    rows = table.select(cluster, *[F.col(c).cast("double").alias(c) for c in design.packed]).persist()
-    # cached as plain columns, which compress; packed on the way to Python
-    packed = rows.select(cluster, F.array(*design.packed).alias("x"))
-    try:
-        betas, sums, steps, condition = _newton(packed, design, equations, [s.label + s.number for s in specs])
-        meat, clusters = _meat(packed, design, equations, betas, cluster)
-    finally:
-        rows.unpersist()
+    # written as plain columns, which compress; packed on the way to Python
+    packed = rows.select(F.array(*design.packed).alias("x"))
+    betas, sums, steps, condition = _newton(packed, design, equations, [s.label + s.number for s in specs])
+    # rows that follow each other in a file, and only they, have numbers that do
+    file = F.shiftleft(F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 29)), 34)
+    placed = rows.select(
+        F.col(cluster).cast("long").alias("group"), (file + F.col("_metadata.row_index")).alias("row"),
+        F.array(*design.packed).alias("x"))
+    meat, clusters = _meat(placed, design, equations, betas)
 
     fits = []
     for m, spec in enumerate(specs):
@@ -265,20 +279,22 @@ def _newton(rows, design, equations, names):
     raise EstimationError(f"no convergence: {', '.join(names[m] for m in moving)}")
 
 
-def _meat(rows, design, equations, betas, cluster):
+def _meat(rows, design, equations, betas):
     """Σ u uᵀ over clusters, u the summed score vector of a cluster, for all models at once.
 
-    Scores are summed per batch, then per task and cluster by the map side of
-    the aggregation, so a cluster of any size is a few rows in the shuffle.
+    Tasks return the sum over the clusters they hold whole and the vectors of those
+    that may go on in another file: two a file at most, whatever the number of rows.
     """
     widths = {m: e.size for m, e in equations.items()}
-    partial = rows.mapInArrow(
-        kernels.group_scores(design, equations, betas, cluster), f"{cluster} long, u array<double>"
-    )
-    sums = partial.groupBy(cluster).agg(*[F.expr(f"sum(u[{i}]) AS u{i}") for i in range(sum(widths.values()))])
-    scores = sums.select(F.array(*sums.columns[1:]).alias("x"))
-    found = _add_up(scores.mapInArrow(kernels.cross_products(widths), "model int, sums array<double>"))
+    found = rows.mapInArrow(
+        kernels.group_scores(design, equations, betas), "model int, group long, sums array<double>")
+    with staged(found, "scores") as found:
+        cut = found.filter("model IS NULL").groupBy("group").agg(
+            *[F.expr(f"sum(sums[{i}]) AS u{i}") for i in range(sum(widths.values()))])
+        put_together = cut.select(F.array(*cut.columns[1:]).alias("x")).mapInArrow(
+            kernels.cross_products(widths), "model int, sums array<double>")
+        total = _add_up(found.filter("model IS NOT NULL").select("model", "sums").unionByName(put_together))
     meat = {}
     for m, k in widths.items():
-        (clusters,), _, meat[m] = kernels.unpack(found[m], k, 1, 0)
+        (clusters,), _, meat[m] = kernels.unpack(total[m], k, 1, 0)
     return meat, int(clusters)

@@ -191,35 +191,77 @@ def likelihood_sums(design, equations, betas):
     return run
 
 
-def group_scores(design, equations, betas, group):
-    """Kernel: score vectors of all models side by side, summed per group within each batch."""
+def group_scores(design, equations, betas):
+    """Kernel: per model the number of groups and the squares of their summed scores; models lie side by side.
+
+    Rows come as (group, row, x), sorted by group within a file, ``row`` counting
+    the rows of the file. A group that another follows and precedes in the same file
+    is whole. The first and the last of a file, or of a piece of it, may go on
+    elsewhere; their sums are handed out as they are, with no model.
+    """
+    widths = {m: e.size for m, e in equations.items()}
 
     def run(batches):
+        totals, cut = {}, []
+        # the group at the end of the last batch: key, sum, whether its beginning was seen, next row
+        open_key, open_sum, begun, next_row = None, None, False, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             values = packed(batch)
             x = design.matrix(values)
-            keys = batch.column(group).to_numpy(zero_copy_only=False)
-            order = np.argsort(keys, kind="stable")
-            keys = keys[order]
-            starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            keys, rows = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("group", "row"))
             scores = []
             for m, equation in equations.items():
-                y = design.value(values, equation.outcome)
-                xm, (_, score, _, _, _) = equation.rows(x, y, betas[m])
-                scores.append(np.add.reduceat((xm * score)[:, order], starts, axis=1))
-            wide = np.vstack(scores)
-            offsets = np.arange(wide.shape[1] + 1, dtype=np.int32) * len(wide)
+                xm, (_, score, _, _, _) = equation.rows(x, design.value(values, equation.outcome), betas[m])
+                scores.append(xm * score)
+            scores = np.vstack(scores)
+            broken = np.r_[True, rows[1:] != rows[:-1] + 1]  # another file or piece begins here
+            starts = np.flatnonzero(broken | np.r_[True, keys[1:] != keys[:-1]])
+            sums = np.add.reduceat(scores, starts, axis=1)
+            keys, broken = keys[starts], broken[starts]
+            broken[0] = next_row is None or rows[0] != next_row
+            # a group is whole if it begins and ends next to others of its file
+            has_begun, has_ended = ~broken, ~np.r_[broken[1:], True]
+            if open_key is not None and not broken[0] and keys[0] == open_key:
+                sums[:, 0] += open_sum
+                has_begun[0] = begun
+            elif open_key is not None:
+                if begun and not broken[0]:
+                    totals = add_squares(totals, open_sum[:, None], widths)
+                else:
+                    cut.append((open_key, open_sum))
+            open_key, open_sum, begun, next_row = int(keys[-1]), sums[:, -1], bool(has_begun[-1]), rows[-1] + 1
+            whole = (has_begun & has_ended)[:-1]
+            if whole.any():
+                totals = add_squares(totals, sums[:, :-1][:, whole], widths)
+            cut += [(int(keys[i]), sums[:, i]) for i in np.flatnonzero(~whole)]
+        if open_key is not None:
+            cut.append((open_key, open_sum))
+        if totals or cut:
+            models = [*totals, *[None] * len(cut)]
+            groups = [*[None] * len(totals), *(key for key, _ in cut)]
+            vectors = [*totals.values(), *(u for _, u in cut)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[starts], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(wide.T.ravel()))],
-                names=[group, "u"],
+                [pa.array(models, pa.int32()), pa.array(groups, pa.int64()),
+                 pa.array([v.tolist() for v in vectors], pa.list_(pa.float64()))],
+                names=["model", "group", "sums"],
             )
 
     return run
 
 
+def add_squares(totals, x, widths):
+    """Add the number of columns of x and XᵀX for each model's rows of it."""
+    at = 0
+    for m, k in widths.items():
+        block = np.ascontiguousarray(x[at:at + k])
+        part = pack([x.shape[1]], [], block @ block.T)
+        totals[m] = totals[m] + part if m in totals else part
+        at += k
+    return totals
+
+
 def cross_products(widths):
     """Kernel: per model the number of rows and XᵀX of its columns; models lie side by side."""
 
@@ -228,13 +270,7 @@ def cross_products(widths):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = packed(batch)
-            at = 0
-            for m, k in widths.items():
-                block = np.ascontiguousarray(x[at:at + k])
-                part = pack([x.shape[1]], [], block @ block.T)
-                totals[m] = totals[m] + part if m in totals else part
-                at += k
+            totals = add_squares(totals, packed(batch), widths)
         if totals:
             yield sums_batch(list(totals), list(totals.values()))
 

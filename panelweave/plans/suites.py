@@ -16,7 +16,7 @@ from panelweave.operators.sample import (
     SampleDesign,
     analysis_sample,
 )
-from panelweave.session import stage
+from panelweave.session import stage, staged
 
 MEANS = tuple(f"{v}_mean" for v in TIME_VARYING)
 WITHIN = tuple(f"{v}_within" for v in TIME_VARYING)
@@ -54,8 +54,21 @@ def estimation_table(master: DataFrame, design: SampleDesign) -> DataFrame:
     sample is written before them: means, their counts and the join all read it,
     and none of them should rebuild the panel.
     """
-    sample = stage(analysis_sample(master, design).select(design.required()), "sample")
-    return stage(add_group_means(sample, [design.outcome, *TIME_VARYING]), "design")
+    return stage(_with_means(stage(_sample(master, design), "sample"), design), "design")
+
+
+def _sample(master: DataFrame, design: SampleDesign) -> DataFrame:
+    return analysis_sample(master, design).select(design.required())
+
+
+def _with_means(sample: DataFrame, design: SampleDesign) -> DataFrame:
+    return add_group_means(sample, [design.outcome, *TIME_VARYING])
+
+
+def fit_design(master: DataFrame, design: SampleDesign, specs: list[ModelSpec]) -> list[Fit]:
+    """Fit on the sample of a design; what is written for the fits is deleted after them."""
+    with staged(_sample(master, design), "sample") as sample:
+        return fit_models(_with_means(sample, design), specs)
 
 
 def rename_within(fits: list[Fit]) -> list[Fit]:
@@ -66,25 +79,25 @@ def rename_within(fits: list[Fit]) -> list[Fit]:
 
 
 def preference_models(master: DataFrame, sector: bool | None = None) -> list[Fit]:
-    return fit_models(estimation_table(master, PREFERENCE), binary_specs(PREFERENCE, sector))
+    return fit_design(master, PREFERENCE, binary_specs(PREFERENCE, sector))
 
 
 def realization_models(master: DataFrame, sector: bool | None = None) -> list[Fit]:
     specs = binary_specs(REALIZATION, sector)
     if sector is None:
         specs.append(within_spec(REALIZATION, "(7)"))
-    return rename_within(fit_models(estimation_table(master, REALIZATION), specs))
+    return rename_within(fit_design(master, REALIZATION, specs))
 
 
 def realization_full_models(master: DataFrame) -> list[Fit]:
     """Realization on everyone eligible, the stated preference as a regressor without a mean."""
-    return fit_models(estimation_table(master, REALIZATION_FULL), binary_specs(REALIZATION_FULL))
+    return fit_design(master, REALIZATION_FULL, binary_specs(REALIZATION_FULL))
 
 
 def within_models(master: DataFrame) -> dict[str, list[Fit]]:
     """Within estimates of both stages on rows complete in the time-varying regressors."""
     return {
-        name: rename_within(fit_models(estimation_table(master, design), [within_spec(design, number)]))
+        name: rename_within(fit_design(master, design, [within_spec(design, number)]))
         for name, design, number in (
             ("Preference", PREFERENCE_WITHIN, "(1)"), ("Realization", REALIZATION_WITHIN, "(2)"),
         )

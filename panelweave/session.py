@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,7 +43,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Used before loops over the same rows: it cuts the lineage, survives lost
     executors, and later passes read only the columns they name.
     """
+    return _written(df, f"{stage_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """The same, for rows that nobody reads after the block: the files are deleted at its end."""
     spark = df.sparkSession
     path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    try:
+        yield _written(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

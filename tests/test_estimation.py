@@ -124,6 +124,37 @@ def test_one_row_clusters_give_the_rowwise_sandwich(spark):
     np.testing.assert_allclose(fit.cov, clustered(xm, s, (xm * w[:, None]).T @ xm, pid), rtol=1e-8)
 
 
+@pytest.mark.parametrize("cuts", [(), (1,), (3, 7, 8), (2, 4, 6, 10, 11), tuple(range(1, 12))])
+@pytest.mark.parametrize("files", [(12,), (5, 12), (1, 4, 7, 12)])
+def test_groups_cut_by_files_and_batches(cuts, files):
+    """However rows come in batches and files, whole groups and pieces add up to the groups."""
+    import pyarrow as pa
+
+    group = np.array([1, 1, 1, 2, 3, 3, 3, 3, 3, 4, 4, 5])
+    rng = np.random.default_rng(1)
+    x, y = rng.normal(size=12), rng.normal(size=12)
+    row = np.concatenate([np.arange(b - a) for a, b in zip((0, *files), files)])
+    plan = kernels.Design(["x"], others=["y"])
+    equations = {0: kernels.Equation("linear", ("y",), [0, 1])}
+    bounds = [0, *cuts, 12]
+    batches = [pa.RecordBatch.from_arrays(
+        [pa.array(group[a:b]), pa.array(row[a:b]), pa.array([[p, q] for p, q in zip(x[a:b], y[a:b])], pa.list_(pa.float64()))],
+        ["group", "row", "x"]) for a, b in zip(bounds, bounds[1:])]
+    square, count, pieces = np.zeros((2, 2)), 0, {}
+    for out in kernels.group_scores(plan, equations, {0: np.zeros(2)})(iter(batches)):
+        for model, key, sums in zip(*(out.column(i).to_pylist() for i in range(3))):
+            if model is None:
+                pieces[key] = pieces.get(key, 0) + np.array(sums)
+            else:
+                (n,), _, part = kernels.unpack(np.array(sums), 2, 1, 0)
+                square, count = square + part, count + n
+    square = square + sum((np.outer(u, u) for u in pieces.values()), np.zeros((2, 2)))
+    u = np.array([[y[group == g].sum(), (x * y)[group == g].sum()] for g in range(1, 6)])
+    np.testing.assert_allclose(square, u.T @ u, rtol=1e-12)
+    assert count + len(pieces) == 5
+    assert len(files) > 1 or set(pieces) == {1, 5}
+
+
 def test_one_person_with_a_third_of_all_rows(spark):
     pid, x, sector, y = data(900)
     pid[::3] = 5
