@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.estimation.fit import Fit, ModelSpec
-from panelweave.fixed_values import CONTROLS, TERM_GROUPS, TERM_LABELS
+from panelweave.fixed_values import CONTROLS, TERM_GROUPS, TERM_LABELS, TIME_VARYING
 from panelweave.functions import columns as C
 
 TIDY = (
@@ -59,70 +59,77 @@ def specifications(spark: SparkSession, stage: str, specs: list[ModelSpec]) -> D
     )
 
 
-def comparison_table(effects: DataFrame, stats: DataFrame, terms=CONTROLS) -> DataFrame:
+def marks(p: float) -> str:
+    """Significance marks at 1, 5 and 10 percent."""
+    return "***" if p < 0.01 else "**" if p < 0.05 else "*" if p < 0.10 else ""
+
+
+def _cells(fit: Fit, terms, digits: int = 4) -> dict[tuple[str, int], str]:
+    """Estimate with marks (line 0) and standard error (line 1) as text by term."""
+    out = {}
+    for term, estimate, error, _, p in fit.effects(terms):
+        out[term, 0] = f"{estimate:.{digits}f}{marks(p)}"
+        out[term, 1] = f"({error:.{digits}f})"
+    return out
+
+
+def comparison_table(spark: SparkSession, fits: list[Fit], terms=CONTROLS) -> DataFrame:
     """Published layout: terms by models as text, standard errors below, model rows at the end.
 
-    Results of a few models: a few hundred rows at most.
+    The driver holds the fits already, so no job is needed to lay them out.
     """
-    models = sorted(row.model_no for row in stats.select("model_no").distinct().collect())
     groups = [("WFH Preference", ("plb0097",)), *TERM_GROUPS]
     order = [(g, t, TERM_LABELS[t]) for g, members in groups for t in members if t in terms]
-    layout = effects.sparkSession.createDataFrame(
-        [(i, g, t, label) for i, (g, t, label) in enumerate(order)],
-        "position int, group string, term string, label string",
-    )
-    estimate = F.concat(C.fixed(F.col("estimate"), 4), F.col("stars"))
-    error = F.concat(F.lit("("), C.fixed(F.col("std_err"), 4), F.lit(")"))
-    long = effects.select("term", "model_no", F.explode(F.array(
-        F.struct(F.lit(0).alias("line"), estimate.alias("cell")),
-        F.struct(F.lit(1).alias("line"), error.alias("cell")),
-    )).alias("_")).select("term", "model_no", "_.line", "_.cell")
-    body = long.groupBy("term", "line").pivot("model_no", models).agg(F.first("cell"))
-    body = layout.join(F.broadcast(body), "term").select(
-        (F.col("position") * 2 + F.col("line")).alias("row_no"), "group",
-        F.when(F.col("line") == 0, F.col("label")).otherwise("").alias("label"),
-        *[F.coalesce(f"`{m}`", F.when(F.col("line") == 0, "---").otherwise("")).alias(m) for m in models],
-    )
-    wald = (
-        F.when(F.col("wald_p").isNull(), "---").when(F.col("wald_p") < 0.001, "< 0.001")
-        .otherwise(C.fixed(F.col("wald_p"), 3))
-    )
-    log_lik = F.when(F.col("log_lik").isNull(), "---").otherwise(C.fixed(F.col("log_lik"), 1))
+    cells = [_cells(f, terms) for f in fits]
+    rows = [
+        (2 * i + line, group, "" if line else label, *[c.get((term, line), "" if line else "---") for c in cells])
+        for i, (group, term, label) in enumerate(order) for line in (0, 1)
+    ]
+    tests = [f.wald_of_means() for f in fits]
     facts = [
-        ("Model", F.col("model")), ("Sector FE", F.col("sector_fe")), ("N", F.format_number("n", 0)),
-        ("R2 (McFadden / within)", C.fixed(F.col("r2"), 4)),
-        ("Log-likelihood", log_lik), ("Mundlak means (p)", wald),
+        ("Model", [f.spec.label for f in fits]),
+        ("Sector FE", ["Yes" if f.spec.sector else "No" for f in fits]),
+        ("N", [f"{f.n:,}" for f in fits]),
+        ("R2 (McFadden / within)", [f"{f.r2:.4f}" for f in fits]),
+        ("Log-likelihood", ["---" if f.spec.link == "linear" else f"{f.log_lik:.1f}" for f in fits]),
+        ("Mundlak means (p)", ["---" if t is None else "< 0.001" if t[2] < 0.001 else f"{t[2]:.3f}" for t in tests]),
     ]
-    foot = stats.select("model_no", F.explode(F.array(*[
-        F.struct(F.lit(2 * len(order) + i).alias("row_no"), F.lit(name).alias("label"), cell.alias("cell"))
-        for i, (name, cell) in enumerate(facts)
-    ])).alias("_")).select("model_no", "_.*")
-    foot = foot.groupBy("row_no", "label").pivot("model_no", models).agg(F.first("cell")).select(
-        "row_no", F.lit("").alias("group"), "label", *[F.col(f"`{m}`") for m in models]
-    )
-    return body.unionByName(foot).orderBy("row_no")
+    rows += [(len(rows) + i, "", name, *texts) for i, (name, texts) in enumerate(facts)]
+    models = ", ".join(f"`{f.spec.number}` string" for f in fits)
+    return spark.createDataFrame(rows, f"row_no int, group string, label string, {models}")
 
 
-def effect_matrix(effects: DataFrame) -> DataFrame:
+def within_table(spark: SparkSession, fits: dict[str, Fit], terms=TIME_VARYING) -> DataFrame:
+    """Within estimates of several stages side by side, with the number of rows and the within R² at the end."""
+    cells = [_cells(f, terms) for f in fits.values()]
+    rows = [
+        (2 * i + line, "" if line else TERM_LABELS[term], *[c.get((term, line), "" if line else "---") for c in cells])
+        for i, term in enumerate(terms) for line in (0, 1)
+    ]
+    rows.append((len(rows), "N", *[f"{f.n:,}" for f in fits.values()]))
+    rows.append((len(rows), "Within R2", *[f"{f.r2:.4f}" for f in fits.values()]))
+    stages = ", ".join(f"`{name}` string" for name in fits)
+    return spark.createDataFrame(rows, f"row_no int, label string, {stages}")
+
+
+def effect_matrix(spark: SparkSession, fits: dict[str, list[Fit]], terms=CONTROLS) -> DataFrame:
     """Absolute effects and annotated texts, terms by stage and model, models without sector effects.
 
     ``scale_max`` is the largest absolute effect of the whole matrix.
     """
-    shown = effects.filter("sector_fe = 'No' AND model IN ('Logit', 'Probit', 'CRE Probit')")
-    cells = shown.select(
-        "term_no", "term", F.concat_ws(" / ", "stage", "model").alias("column"),
-        F.abs("estimate").alias("size"),
-        F.concat(C.fixed(F.col("estimate"), 3), F.col("stars")).alias("text"),
-    )
-    names = sorted(row[0] for row in cells.select("column").distinct().collect())
-    top = cells.agg(F.max("size")).first()[0]
-    wide = cells.groupBy("term_no", "term").pivot("column", names).agg(
-        F.first("size").alias("size"), F.first("text").alias("text")
-    )
-    return (
-        wide.withColumns({"label": C.label_text(F.col("term"), TERM_LABELS), "scale_max": F.lit(top)})
-        .orderBy("term_no")
-    )
+    columns = {
+        f"{stage} / {f.spec.label}": {term: (abs(b), f"{b:.3f}{marks(p)}") for term, b, _, _, p in f.effects(terms)}
+        for stage, of_stage in fits.items() for f in of_stage
+        if not f.spec.sector and f.spec.label in ("Logit", "Probit", "CRE Probit")
+    }
+    names = sorted(columns)
+    top = max((size for cells in columns.values() for size, _ in cells.values()), default=None)
+    rows = [
+        (i, t, *[part for n in names for part in columns[n].get(t, (None, None))], TERM_LABELS.get(t, t), top)
+        for i, t in enumerate(terms) if any(t in cells for cells in columns.values())
+    ]
+    pairs = "".join(f"`{n}_size` double, `{n}_text` string, " for n in names)
+    return spark.createDataFrame(rows, f"term_no int, term string, {pairs}label string, scale_max double")
 
 
 def between_effects(coefs: DataFrame) -> DataFrame:

@@ -255,5 +255,5 @@ def test_reports(spark, fitted):
         ("(1)", 0, "b"), ("(1)", 1, "a"), ("(2)", 0, "b"), ("(2)", 1, "a")]
     stats = report.model_stats(spark, "Preference", fits)
     assert [r.sector_fe for r in stats.collect()] == ["No", "Yes"]
-    matrix = report.effect_matrix(effects).collect()
+    matrix = report.effect_matrix(spark, {"Preference": fits}, ("b", "a", "c")).collect()
     assert len(matrix) == 2 and matrix[0].scale_max >= abs(fits[0].effects(["a"])[0][1])

@@ -1,4 +1,4 @@
-"""Model fits: closed-form cases checked in SQL, full suites without a check."""
+"""Model fits: cases with a closed form, and the published suites checked by fits in SQL."""
 
 from functools import reduce
 
@@ -12,7 +12,7 @@ from panelweave.operators import panel, sample
 from panelweave.operators.derive import treatment_dummies
 from panelweave.plans import suites
 from panelweave.session import stage
-from workload import inputs
+from workload import fit_sql, inputs
 from workload.catalog import query, rounded
 from workload.frames import CONTROLS_SQL, table
 
@@ -271,13 +271,13 @@ def _null_sql(name, source, outcome):
     _null_sql("Realization, all eligible", "s2full", ACTUAL)]))
 def null_loglik(spark, sf_dir):
     master = inputs.stored_master(spark, sf_dir)
-    rows = []
-    for name, design in (("Preference", sample.PREFERENCE), ("Realization", sample.REALIZATION),
-                         ("Realization, all eligible", sample.REALIZATION_FULL)):
-        n, ones = sample.analysis_sample(master, design).agg(
-            F.count("*"), F.sum(F.col(design.outcome))
-        ).first()
-        rows.append((name, n, null_log_lik(n, ones)))
+    samples = [
+        sample.analysis_sample(master, design).select(F.lit(name).alias("stage"), F.col(design.outcome).alias("y"))
+        for name, design in (("Preference", sample.PREFERENCE), ("Realization", sample.REALIZATION),
+                             ("Realization, all eligible", sample.REALIZATION_FULL))
+    ]
+    counts = reduce(lambda a, b: a.unionByName(b), samples).groupBy("stage").agg(F.count("*"), F.sum("y")).collect()
+    rows = [(name, n, null_log_lik(n, ones)) for name, n, ones in counts]
     return rounded(
         spark.createDataFrame(rows, "stage string, n long, null_log_lik double"), 6, "null_log_lik"
     )
@@ -288,6 +288,7 @@ def null_loglik(spark, sf_dir):
     FROM (SELECT CAST(o_orderpriority AS VARCHAR) AS stage, count(*) AS n,
                  count(*) FILTER (WHERE o_orderstatus = 'P') / (count(*) * 5.0) AS p FROM orders GROUP BY 1)""")
 def stars(spark, sf_dir):
+    """The marks as a column; ``ame_table`` checks them on the p-values of models."""
     by = table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("stage")).agg(
         F.count("*").alias("n"), (F.count_if(F.col("o_orderstatus") == "P") / (F.count("*") * 5.0)).alias("p")
     )
@@ -295,82 +296,112 @@ def stars(spark, sf_dir):
 
 
 # -- the published models -------------------------------------------------------------------
+#
+# Checked by fits written as SQL: Newton steps, sandwich, effects and tests, every cell.
+
+S1 = fit_sql.binary_models("Preference", "s1", WILLING)
+S2 = fit_sql.binary_models("Realization", "s2", ACTUAL)
+S2FULL = fit_sql.binary_models("Realization", "s2full", ACTUAL, (WILLING,))
+W1 = fit_sql.within_model("Preference", "w1", WILLING, "(1)")
+W2 = fit_sql.within_model("Realization", "w2", ACTUAL, "(2)")
+S2W = fit_sql.within_model("Realization", "s2", ACTUAL, "(7)")
+
+
+def _tidy(df):
+    return df.withColumns({
+        "estimate": F.round("estimate", 6), "std_err": F.round("std_err", 6), "z": F.round("z", 4),
+        "p_value": F.round("p_value", 5),
+    })
+
 
 def _one_model(number):
     """One column of the preference table, all coefficients."""
     def run(spark, sf_dir):
         specs = [s for s in suites.binary_specs(sample.PREFERENCE) if s.number == number]
-        table = suites.estimation_table(inputs.master(spark, sf_dir), sample.PREFERENCE)
-        return report.coefficients(spark, "Preference", fit_models(table, specs))
+        return _tidy(report.coefficients(
+            spark, "Preference", suites.fit_design(inputs.master(spark, sf_dir), sample.PREFERENCE, specs)))
 
     return run
 
 
-for _name, _number in (
-    ("logit_pooled", "(1)"), ("logit_sector_fe", "(2)"), ("probit_pooled", "(3)"),
-    ("probit_sector_fe", "(4)"), ("cre_probit", "(5)"), ("cre_probit_sector_fe", "(6)"),
+for _name, _model in zip(
+    ("logit_pooled", "logit_sector_fe", "probit_pooled", "probit_sector_fe", "cre_probit", "cre_probit_sector_fe"), S1
 ):
-    query(_name)(_one_model(_number))
+    query(_name, fit_sql.coefficients(_model))(_one_model(_model.number))
 
 
-@query("ame_table")
+@query("ame_table", fit_sql.effects(S1))
 def ame_table(spark, sf_dir):
-    return report.effects(spark, "Preference", suites.preference_models(inputs.master(spark, sf_dir)))
+    return _tidy(report.effects(spark, "Preference", suites.preference_models(inputs.master(spark, sf_dir))))
 
 
-@query("mundlak_wald")
+@query("mundlak_wald", fit_sql.wald(S1))
 def mundlak_wald(spark, sf_dir):
     fits = suites.preference_models(inputs.master(spark, sf_dir))
     return report.model_stats(spark, "Preference", fits).select(
-        "stage", "model_no", "model", "sector_fe", "wald_chi2", "wald_df", "wald_p"
+        "stage", "model_no", "model", "sector_fe", F.round("wald_chi2", 4).alias("wald_chi2"), "wald_df",
+        F.round("wald_p", 6).alias("wald_p"),
     )
 
 
-@query("model_suite")
+@query("specifications", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{m.stage}', '{m.number}', '{m.label}', '{'Yes' if m.sector else 'No'}', "
+    f"{sum(t != 'Intercept' and not t.startswith('sector_') for t in m.terms)}, {any(t.endswith('_mean') for t in m.terms)}, "
+    f"(SELECT count(*) FROM {source}))" for m, source in [*((m, "s1") for m in S1), *((m, "s2") for m in (*S2, S2W))]
+) + ") t(stage, model_no, model, sector_fe, regressors, person_means, n)")
+def specifications(spark, sf_dir):
+    """What each column of the two tables stands for, with the size of its sample."""
+    master = inputs.stored_master(spark, sf_dir)
+    parts = []
+    for name, design, more in (("Preference", sample.PREFERENCE, []),
+                               ("Realization", sample.REALIZATION, [suites.within_spec(sample.REALIZATION, "(7)")])):
+        n = sample.analysis_sample(master, design).agg(F.count("*")).scalar()
+        parts.append(report.specifications(spark, name, suites.binary_specs(design) + more).select(
+            "stage", "model_no", "model", "sector_fe", "regressors", "person_means", n.alias("n")))
+    return parts[0].unionByName(parts[1])
+
+
+@query("model_suite", fit_sql.table(S1))
 def model_suite(spark, sf_dir):
-    fits = suites.preference_models(inputs.master(spark, sf_dir))
-    return report.comparison_table(
-        report.effects(spark, "Preference", fits), report.model_stats(spark, "Preference", fits)
-    )
+    return report.comparison_table(spark, suites.preference_models(inputs.master(spark, sf_dir)))
 
 
-@query("stage2_full_suite")
+@query("stage2_full_suite", fit_sql.table([*S2, S2W]))
 def stage2_full_suite(spark, sf_dir):
-    fits = suites.realization_models(inputs.master(spark, sf_dir))
-    return report.comparison_table(
-        report.effects(spark, "Realization", fits), report.model_stats(spark, "Realization", fits)
-    )
+    return report.comparison_table(spark, suites.realization_models(inputs.master(spark, sf_dir)))
 
 
-@query("stage2_unrestricted_suite")
+@query("stage2_unrestricted_suite", fit_sql.table(S2FULL, (WILLING, *CONTROLS)))
 def stage2_unrestricted_suite(spark, sf_dir):
-    fits = suites.realization_full_models(inputs.master(spark, sf_dir))
-    terms = (WILLING, *CONTROLS)
-    return report.comparison_table(
-        report.effects(spark, "Realization", fits, terms), report.model_stats(spark, "Realization", fits), terms
-    )
+    return report.comparison_table(spark, suites.realization_full_models(inputs.master(spark, sf_dir)), (WILLING, *CONTROLS))
 
 
-@query("fe_comparison")
+@query("fe_comparison", fit_sql.effects([W1, W2], TIME_VARYING))
 def fe_comparison(spark, sf_dir):
     parts = [
         report.effects(spark, name, fits, TIME_VARYING)
         for name, fits in suites.within_models(inputs.stored_master(spark, sf_dir)).items()
     ]
-    return parts[0].unionByName(parts[1])
+    return _tidy(parts[0].unionByName(parts[1]))
+
 
+@query("fe_comparison_table", fit_sql.within_table([W1, W2]))
+def fe_comparison_table(spark, sf_dir):
+    fits = suites.within_models(inputs.stored_master(spark, sf_dir))
+    return report.within_table(spark, {name: of_stage[0] for name, of_stage in fits.items()})
 
-@query("ame_matrix")
+
+@query("ame_matrix", fit_sql.matrix([m for m in (*S1, *S2) if not m.sector]))
 def ame_matrix(spark, sf_dir):
     master = inputs.stored_master(spark, sf_dir)
-    effects = report.effects(spark, "Preference", suites.preference_models(master, False)).unionByName(
-        report.effects(spark, "Realization", suites.realization_models(master, False))
-    )
-    return report.effect_matrix(effects)
+    matrix = report.effect_matrix(spark, {
+        "Preference": suites.preference_models(master, False), "Realization": suites.realization_models(master, False)})
+    sizes = [c for c in matrix.columns if c.endswith("_size")]
+    return rounded(matrix, 6, *sizes, "scale_max")
 
 
-@query("between_effects")
+@query("between_effects", fit_sql.between(S1[4]))
 def between_effects(spark, sf_dir):
-    table = suites.estimation_table(inputs.master(spark, sf_dir), sample.PREFERENCE)
     specs = [s for s in suites.binary_specs(sample.PREFERENCE, False) if s.label == "CRE Probit"]
-    return report.between_effects(report.coefficients(spark, "Preference", fit_models(table, specs)))
+    fits = suites.fit_design(inputs.master(spark, sf_dir), sample.PREFERENCE, specs)
+    return rounded(report.between_effects(report.coefficients(spark, "Preference", fits)), 6, "within", "difference", "between")

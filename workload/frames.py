@@ -217,4 +217,4 @@ def check_sql(select: str) -> str:
     )
     select = select.strip()
     more = select.startswith("WITH ")
-    return f"WITH {ctes}{',' if more else ''}\n{select.removeprefix('WITH ')}"
+    return f"WITH RECURSIVE {ctes}{',' if more else ''}\n{select.removeprefix('WITH ')}"
