@@ -1,14 +1,14 @@
 """Descriptive statistics of panel variables.
 
 Statistics of many variables come from one aggregation over the wide table; the
-small result is then turned into one row per variable. Rows are not multiplied
-by the number of variables.
+small result is then turned into one row per variable. Only counts of categories
+make a row of each answer, and those are added up before they leave the task.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -185,17 +185,17 @@ def _valid(counts: DataFrame) -> DataFrame:
     return counts.filter("value IS NOT NULL").groupBy("value").agg(F.sum("n").alias("n"))
 
 
-def _center(counts: DataFrame) -> float:
+def _center(counts: DataFrame):
     """Mean of all valid values; sums around it keep their digits."""
     known = counts.filter("value IS NOT NULL")
     mean = F.try_divide(F.sum(F.col("value") * F.col("n")), F.sum("n"))
-    return known.agg(mean).first()[0] or 0.0
+    return known.agg(F.coalesce(mean, F.lit(0.0))).scalar()
 
 
 def moments(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Valid n, mean, sample sd, min and max from value counts."""
     center = _center(counts)
-    shift = F.col("value") - F.lit(center)
+    shift = F.col("value") - center
     known = counts.filter("value IS NOT NULL")
     sums = known.groupBy(*by).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.sum(shift * F.col("n")).alias("s1"),
@@ -204,45 +204,72 @@ def moments(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     spread = F.greatest(F.col("s2") - F.col("s1") * F.col("s1") / F.col("n"), F.lit(0.0))
     return sums.select(
         *by, "n",
-        F.when(F.col("n") > 0, F.lit(center) + F.try_divide("s1", "n")).alias("mean"),
+        F.when(F.col("n") > 0, center + F.try_divide("s1", "n")).alias("mean"),
         F.when(F.col("n") > 1, F.sqrt(F.try_divide(spread, F.col("n") - 1))).alias("sd"),
         "min", "max",
     )
 
 
-def quantiles_of_counts(counts: DataFrame, at: tuple[float, ...], buckets: int = 256) -> DataFrame:
+@dataclass(frozen=True)
+class Range:
+    """Values above ``low`` up to ``high``, with the rows before them and the ranks looked for in them."""
+
+    low: float | None
+    high: float | None
+    before: int
+    distinct: int
+    ranks: tuple[int, ...]
+
+    def holds(self) -> Column:
+        above = F.lit(True) if self.low is None else F.col("value") > self.low
+        return above if self.high is None else above & (F.col("value") <= self.high)
+
+
+def _refined(counts: DataFrame, whole: Range, pieces: int) -> list[Range]:
+    """Those parts of a range that hold a rank; at most ``pieces`` rows reach the driver."""
+    inside = counts.filter(whole.holds())
+    marks = np.arange(1, pieces) / pieces
+    cuts = np.unique(inside.agg(F.percentile_approx("value", F.lit(marks), F.lit(10 * pieces))).first()[0]).tolist()
+    part = F.size(F.filter(F.lit(cuts), lambda cut: cut < F.col("value")))
+    parts, before = [], whole.before
+    for at, n, distinct in sorted(inside.groupBy(part).agg(F.sum("n"), F.count("*")).collect()):
+        ranks = tuple(r for r in whole.ranks if before < r <= before + n)
+        if ranks:
+            low, high = cuts[at - 1] if at else whole.low, cuts[at] if at < len(cuts) else whole.high
+            parts.append(Range(low, high, before, distinct, ranks))
+        before += n
+    return parts
+
+
+def quantiles_of_counts(
+    counts: DataFrame, at: tuple[float, ...], most: int = 100_000, pieces: int = 256
+) -> DataFrame:
     """Exact quantiles with linear interpolation from (value, n).
 
-    Values are cut into ranges at approximate quantiles. Only the range totals
-    (at most ``buckets`` rows) reach the driver; they tell which ranges hold the
-    wanted ranks, and running counts are taken inside those ranges alone.
+    A range of values that holds a wanted rank is cut into pieces until it has at
+    most ``most`` distinct values, so neither a task nor the driver ever gets more,
+    however many values there are. Running counts are taken inside those ranges alone.
     """
     spark = counts.sparkSession
-    schema = "q double, value double"
-    marks = np.arange(1, buckets) / buckets
-    cuts = counts.agg(F.percentile_approx("value", F.lit(marks), F.lit(10 * buckets))).first()[0]
-    if cuts is None:
-        return spark.createDataFrame([(float(q), None) for q in at], schema)
-    ranged = counts.withColumn(
-        "bucket", F.size(F.filter(F.lit(np.unique(cuts)), lambda cut: cut < F.col("value")))
-    )
-    totals = sorted(ranged.groupBy("bucket").agg(F.sum("n")).collect())
-    ends = np.cumsum([n for _, n in totals]).tolist()
-
-    # 1-based ranks below and above each quantile, and the ranges they fall into
+    total, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    if not total:
+        return spark.createDataFrame([(float(q), None) for q in at], "q double, value double")
+    # 1-based ranks below and above each quantile
     wanted = []
     for q in at:
-        place = q * (ends[-1] - 1)
+        place = q * (total - 1)
         low = int(place)
-        wanted.append((float(q), low + 1, min(low + 2, ends[-1]), place - low))
-    ranks = sorted({r for _, low, high, _ in wanted for r in (low, high)})
-    holding = {bisect_left(ends, rank) for rank in ranks}
-    before = {totals[i][0]: ends[i] - totals[i][1] for i in holding}
-
-    running = F.sum("n").over(Window.partitionBy("bucket").orderBy("value"))
-    inside = ranged.filter(F.col("bucket").isin(*before)).withColumn(
-        "last", C.recode(F.col("bucket"), before).cast("long") + running
-    )
+        wanted.append((float(q), low + 1, min(low + 2, total), place - low))
+    ranges = [Range(None, None, 0, distinct, tuple(sorted({r for _, low, high, _ in wanted for r in (low, high)})))]
+    while large := [r for r in ranges if r.distinct > most]:
+        ranges = [r for r in ranges if r.distinct <= most]
+        ranges += [part for r in large for part in _refined(counts, r, pieces)]
+
+    label = F.coalesce(*[F.when(r.holds(), i) for i, r in enumerate(ranges)])
+    before = F.get(F.array(*[F.lit(r.before) for r in ranges]), F.col("range"))
+    running = F.sum("n").over(Window.partitionBy("range").orderBy("value"))
+    inside = counts.withColumn("range", label).filter("range IS NOT NULL").withColumn("last", before + running)
+    ranks = sorted({rank for r in ranges for rank in r.ranks})
     found = inside.select(
         "value",
         F.explode(F.filter(
@@ -259,11 +286,9 @@ def quantiles_of_counts(counts: DataFrame, at: tuple[float, ...], buckets: int =
     )
 
 
-def quantiles(
-    df: DataFrame, variable: str, at: tuple[float, ...] = (0.25, 0.5, 0.75), buckets: int = 256
-) -> DataFrame:
+def quantiles(df: DataFrame, variable: str, at: tuple[float, ...] = (0.25, 0.5, 0.75), most: int = 100_000) -> DataFrame:
     """Exact quantiles of one variable; no task ever holds the whole column."""
-    return quantiles_of_counts(_valid(value_counts(df, variable)), at, buckets)
+    return quantiles_of_counts(_valid(value_counts(df, variable)), at, most)
 
 
 def five_numbers_of_counts(counts: DataFrame) -> DataFrame:

@@ -30,8 +30,8 @@ def panel_size(df: DataFrame, waves: DataFrame, person: str = "pid") -> DataFram
 
 
 def wave_histogram(df: DataFrame, person: str = "pid") -> DataFrame:
-    """Persons per number of waves, and their percent of all persons."""
-    per_person = df.groupBy(person).agg(F.count("*").alias("waves"))
+    """Persons per number of waves, and their percent of all persons; rows without a person count nowhere."""
+    per_person = df.dropna(subset=[person]).groupBy(person).agg(F.count("*").alias("waves"))
     everyone = df.agg(F.countDistinct(person)).scalar()
     return per_person.groupBy("waves").agg(F.count("*").alias("persons")).select(
         "waves", "persons", (F.col("persons") * 100 / everyone).alias("percent")

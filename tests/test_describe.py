@@ -38,13 +38,13 @@ def test_distribution(spark):
     assert got == {"a": "0:38% / 1:62%", "b": "--"}  # 37.5 and 62.5 go to the even number
 
 
-@pytest.mark.parametrize("buckets", [2, 5, 256])
+@pytest.mark.parametrize("most", [1, 5, 256])
 @pytest.mark.parametrize("items", [[3.0], [1.0, 2.0], [5.0] * 7, list(range(101)), [1.0, 1.0, 2.0, 9.0, 9.0, 9.5]])
-def test_quantiles(spark, items, buckets):
+def test_quantiles(spark, items, most):
     df = spark.createDataFrame([(float(v),) for v in items] + [(None,), (-1.0,)], "x double")
     at = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
     kept = [float(v) for v in items if not -8 <= v <= -1]
-    got = {r.q: r.value for r in describe.quantiles(df, "x", at, buckets).collect()}
+    got = {r.q: r.value for r in describe.quantiles(df, "x", at, most).collect()}
     assert got == pytest.approx({q: float(np.quantile(kept, q)) for q in at})
 
 
