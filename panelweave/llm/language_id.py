@@ -175,7 +175,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, name: str = "language") -> Mode
     draw = F.pmod(F.xxhash64("key", F.lit("sample")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30)))
     number = F.create_map(*(F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)))
     chosen = stage(taught.where(draw).select(
-        F.element_at(number, F.col("lang")).alias("label"), "text", shard_of(F.col("key")).alias("shard"),
+        F.element_at(number, F.col("lang")).alias("label"), "text", shard_of(F.col("key"), share * sum(counts.values())).alias("shard"),
         F.xxhash64("key", F.lit("order")).alias("order"),
         (F.pmod(F.xxhash64("key", F.lit("calibration")), F.lit(CALIBRATION)) == 0).alias("calibration")), f"{name}-sample")
     start = [np.zeros((DIMENSIONS + 1, len(languages)))] * 2

@@ -10,8 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Shards of a training sample; each is fitted by one task and the models are averaged.
-SHARDS = 8
+#: Most shards of a training sample; each is fitted by one task and the models are averaged. A shard has this many rows
+#: at least (as drawn), since models of a few rows differ too much to be averaged.
+SHARDS, LEAST_ROWS = 8, 250
 
 
 def fold(key: Column, n: int) -> Column:
@@ -19,8 +20,10 @@ def fold(key: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
 
 
-def shard_of(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(SHARDS)).cast("int")
+def shard_of(key: Column, rows: float) -> Column:
+    """Shard of a row of a sample of about so many rows."""
+    shards = max(1, min(SHARDS, int(rows) // LEAST_ROWS))
+    return F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(shards)).cast("int")
 
 
 def averaged(sample: DataFrame, start: list[np.ndarray], rounds: int,

@@ -164,7 +164,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     drawn = known.where(F.pmod(F.xxhash64("labelled", F.lit("sample")), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
     drawn = small_side(drawn, f"{name}-labels")
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text")).join(drawn, F.col("key") == F.col("labelled")).select(
-        "good", shard_of(F.col("key")).alias("shard"), F.xxhash64("key", F.lit("order")).alias("order"), "text")
+        "good", shard_of(F.col("key"), share * n).alias("shard"), F.xxhash64("key", F.lit("order")).alias("order"), "text")
     bags = stage(rows.mapInArrow(_bags, "good int, shard int, order long, bag binary"), f"{name}-bags")
     return averaged(bags, start_model(), ROUNDS, _adam)
 

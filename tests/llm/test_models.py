@@ -66,6 +66,14 @@ def test_quality(spark, labels):
     assert ours == pytest.approx({r.doc_id: r.score for r in op10(spark, SF).collect()}, abs=1e-6)
 
 
+def test_quality_from_a_few_labels(spark):
+    """Some seventy labels, a ninth of them bad, are enough."""
+    few = "/root/testdata/sf0.001"
+    got = op10(spark, few).join(spark.read.parquet(f"{few}/labels.parquet"), "doc_id")
+    assert got.where("quality = 0").count() > 5
+    assert got.where("quality <> predicted").count() <= 1
+
+
 def test_rules(spark, docs, labels):
     judged = op2(spark, SF).join(labels, "doc_id")
     wrong_out = judged.where("quality = 1 and not kept and not base_failed").count()
