@@ -1,12 +1,15 @@
 """Cleaning, recoding, deriving and filtering."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelweave.fixed_values import STATES, TIME_VARYING
 from panelweave.functions import columns as C
 from panelweave.operators import derive, sample
 from panelweave.plans import master as plans
-from panelweave.sources.tables import export_views
+from panelweave.session import stage_folder
+from panelweave.sources.tables import label_table, save_views
 from workload import inputs
 from workload.catalog import query
 from workload.frames import REGISTRY, STUDY_YEARS, VARYING_SQL, _complete, dataset, frame
@@ -159,8 +162,23 @@ _ALL = ("hid, sex, partner, migback, plb0097, plb0095_v1, plh0173, plb0193_h, pg
     UNION ALL SELECT 'complete', pid, syear FROM master WHERE {_complete(_ALL)}
     UNION ALL SELECT 'eligible', pid, syear FROM master WHERE plb0097 IN (0, 1) AND {_complete(_ALL)}""")
 def views(spark, sf_dir):
+    """The written views, read back."""
+    folder = f"{stage_folder(spark)}/views-{uuid.uuid4().hex}"
     parts = [
         df.select(F.lit(name).alias("view"), "pid", "syear")
-        for name, df in export_views(inputs.stored_master(spark, sf_dir)).items()
+        for name, df in save_views(inputs.stored_master(spark, sf_dir), folder).items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+_LABELLED = ("age", "sqm_per_head", "sector", "plb0193_h", "plh0173", "syear")
+
+
+@query("labelled_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS variable, '{REGISTRY.labels()[c]}' AS label, count({c}) AS n FROM master" for c in _LABELLED))
+def labelled_columns(spark, sf_dir):
+    """Valid n per column under its label, from the table of labels."""
+    master = inputs.master(spark, sf_dir)
+    counts = master.agg(*[F.count(c).alias(c) for c in _LABELLED]).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("variable"), F.col(c).alias("n")) for c in _LABELLED])))
+    return label_table(spark, REGISTRY).join(F.broadcast(counts), "variable").select("variable", "label", "n")
