@@ -9,8 +9,8 @@ from panelweave.session import stage
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-#: One row more than this and a small side is no longer sent to every executor.
-BROADCAST_ROWS = 200_000
+#: Beyond either a small side is not sent to every executor. Bytes are those of the rows as JSON text.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 48 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,13 +32,15 @@ def let(value: Column, body) -> Column:
 
 
 def small_side(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once, and marked for broadcast if its counted rows stay below the bound.
+    """``df`` written once, and marked for broadcast if its rows and their size, both counted, stay below the bounds.
 
-    Beyond the bound the join is a shuffled one, whose skewed keys AQE splits.
-    The rows are narrow: a few numbers or a short key each.
+    Beyond them the join is a shuffled one, whose skewed keys AQE splits.
     """
     written = stage(df, name)
-    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+    if written.count() > BROADCAST_ROWS:
+        return written
+    size = written.agg(F.sum(F.length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(written) if size <= BROADCAST_BYTES else written
 
 
 def place(df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -48,6 +50,9 @@ def place(df: DataFrame, order: list[str], name: str) -> DataFrame:
     in the input, so that one key held by a third of the rows still goes to many
     tasks. ``place`` is (part, file, row): the number of the written part and the row
     in its file. It is read from the files and stays the same if a task runs again.
+
+    ``df`` must be a written table or narrow expressions over one: a task that runs
+    again then reads the same rows in the same order and numbers them alike.
     """
     tied = df.withColumn("tie_", F.monotonically_increasing_id())
     keys = [F.col(c).asc_nulls_last() for c in [*order, "tie_"]]

@@ -106,6 +106,9 @@ def shard(docs: DataFrame, shards: int, *, key: str = "doc_id", text: str = "tex
       three take neighbouring numbers in any order, which changes no result but the
       order of equal rows; a repeated run gives the same table.
     * An empty table gives an empty result with the same columns.
+
+    ``docs`` should be a written table, as in the pipeline; write the result of joins or
+    shuffles before (``panelweave.session.stage``).
     """
     body = F.coalesce(docs[text], F.lit(""))
     compact = docs.select(

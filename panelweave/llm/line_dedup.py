@@ -172,6 +172,7 @@ def dropped_lines(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n
     variants = stage(variants.select("v1", "v2", "place", at.alias("at")), f"{name}-variants")
 
     earliest = variants.groupBy("v1", "v2", "place").agg(F.min("at").alias("first"))
+    # a variant has no more places than words
     whole = F.min(F.when(F.col("place") < 0, F.col("first")))
     shorter = F.min(F.when(F.col("place") >= 0, F.col("first")))
     by_variant = earliest.groupBy("v1", "v2").agg(whole.alias("whole"), shorter.alias("shorter"), F.map_from_entries(

@@ -66,6 +66,9 @@ def mix(docs: DataFrame, *, source: str = "source", key: str = "doc_id", text: s
       order in which they were written, and exchanging them changes no result row.
     * A source without words has target 0. An empty table gives an empty result.
 
+    ``docs`` should be a written table, as in the pipeline; write the result of joins or
+    shuffles before (``panelweave.session.stage``).
+
     The running sums need no window over a source: sums by source and written file
     locate the file in which a budget ends, and only that file's rows of the source
     are summed one by one.

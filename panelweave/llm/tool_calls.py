@@ -130,7 +130,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: Mapping, name: str = "to
         F.col("status").endswith("result"), 2).when(F.col("level").isNull(), 1).otherwise(0))
     at = F.coalesce("turn", "result_turn")
     order = ["conv_id", "kind", "level", "at", "call_id", "content", "arguments", "name", "after_id"]
-    numbered = row_numbers(place(rows.withColumn("at", at), order, f"{name}-order"), f"{name}-order")
+    rows = stage(rows.withColumn("at", at), f"{name}-rows")
+    numbered = row_numbers(place(rows, order, f"{name}-order"), f"{name}-order")
     starts = numbered.groupBy(F.col("conv_id").alias("c")).agg(F.min("number").alias("start"))
     placed = numbered.join(starts, F.col("conv_id").eqNullSafe(F.col("c"))).withColumn(
         "position", F.col("number") - F.col("start"))
