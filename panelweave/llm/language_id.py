@@ -20,6 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,7 +38,9 @@ RATE, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
 #: Every sixth document of the sample sets the temperature.
 CALIBRATION = 6
 SCALE = 20.0
-CHUNK_CHARS = 1 << 19
+CHUNK_CHARS = 1 << 18
+#: Tasks that add up the counts of all others.
+SLOTS = 16
 UNKNOWN = "und"
 TEMPERATURES = [2 ** (i / 4) for i in range(-16, 17)]
 _FACTORS = np.array([[2654435761, 0, 0], [2246822519, 3266489917, 0], [668265263, 374761393, 2869860233]], dtype=np.uint32)
@@ -85,27 +88,34 @@ def text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBa
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, documents = np.zeros(DIMENSIONS, dtype=np.int64), 0
+    """One row a task: how many documents hold each feature, and in the last place how many documents there are."""
+    counts = np.zeros(DIMENSIONS + 1, dtype=np.int64)
     for _, texts in text_chunks(batches):
         features, begin = grams(texts)
         for a, b in zip(begin[:-1], begin[1:], strict=True):
             if b > a:
                 counts[np.unique(np.concatenate([f[a:b] for f in features]))] += 1
-                documents += 1
-    found = np.flatnonzero(counts)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(found, -1).astype(np.int32)), pa.array(np.append(counts[found], documents))], ["feature", "documents"])
+                counts[-1] += 1
+    slot = TaskContext.get().partitionId() % SLOTS
+    yield pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([counts.tobytes()], pa.binary())], ["slot", "counts"])
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+    for batch in batches:
+        for part in batch.column("counts"):
+            total += np.frombuffer(part.as_buffer(), dtype=np.int64)
+    yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """From all documents: tasks count, Spark adds up; the driver gets one number a feature."""
-    counted = docs.select("text").mapInArrow(_frequencies, "feature int, documents long").groupBy("feature").agg(
-        F.sum("documents").alias("documents")).toPandas()
-    counts = np.zeros(DIMENSIONS)
-    held = counted[counted["feature"] >= 0]
-    counts[held["feature"].to_numpy()] = held["documents"].to_numpy()
-    n = int(counted.loc[counted["feature"] < 0, "documents"].sum())
-    return np.log((n + 1) / (counts + 1)) + 1
+    """From all documents: tasks count, at most SLOTS tasks add up, and the driver gets an array from each of those."""
+    counted = docs.select("text").mapInArrow(_frequencies, "slot int, counts binary")
+    added = counted.repartition(SLOTS, "slot").mapInArrow(_added, "counts binary")
+    total = np.zeros(DIMENSIONS + 1, dtype=np.int64)
+    for row in added.toLocalIterator():
+        total += np.frombuffer(row.counts, dtype=np.int64)
+    return np.log((total[-1] + 1) / (total[:-1] + 1)) + 1
 
 
 def weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
