@@ -2,13 +2,15 @@
 
 1. Each document is reduced to the fingerprint of its set of shingles and a MinHash
    signature. Documents with equal sets are one class from here on.
-2. The signature is cut into trees. A tree sorts classes by its part of the signature;
-   classes that share a prefix of it are a candidate group. Prefixes are shortened from
-   full depth until a pair at the threshold shares one in some tree with the target
-   probability. Groups with the same members in several trees are looked at once.
-3. Within a group pairs are compared by whole signatures, with a margin of many
-   standard errors, and only the links of a spanning tree leave the task. Their
-   components are near-duplicate families.
+2. The signature is cut into trees. A tree is a prefix trie of its part of the
+   signature; classes that share a prefix are the members of a node. Matched prefixes
+   start at full depth and are shortened level by level until a pair at the threshold
+   shares one in some tree with the target probability.
+3. At each level the pairs of a node are compared by whole signatures, with a margin of
+   many standard errors, and only the links of a spanning tree leave the task. Their
+   components are families. A node whose members are one family already has nothing to
+   add and is left out, so shorter prefixes only look where longer ones did not decide;
+   of nodes with the same members one is looked at.
 4. The shingle sets of each family are compared exactly, pair by pair. What leaves the
    task is a count of links for each class and again a spanning tree.
 
@@ -46,11 +48,12 @@ def recall(similarity: float, depth: int, trees: int = TREES) -> float:
     return 1 - (1 - similarity ** depth) ** trees
 
 
-def prefix_depth(threshold: float = THRESHOLD, target: float = TARGET) -> int:
-    depth = DEPTH
-    while depth > 1 and recall(threshold, depth) < target:
-        depth -= 1
-    return depth
+def depths(threshold: float = THRESHOLD, target: float = TARGET) -> list[int]:
+    """Prefix lengths from the longest to the first that reaches the target."""
+    out = [DEPTH]
+    while out[-1] > 1 and recall(threshold, out[-1]) < target:
+        out.append(out[-1] - 1)
+    return out
 
 
 def signatures(sets: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -199,6 +202,32 @@ def in_blocks(rows: DataFrame) -> DataFrame:
     ).agg(F.collect_list(F.struct("fp", "mine", "value")).alias("members")).where(F.size("members") > 1)
 
 
+def _families(classes: DataFrame, threshold: float, name: str) -> DataFrame:
+    """Rows (node, label): the classes that are likely to be near others, with the least of their family."""
+    error = math.sqrt(threshold * (1 - threshold) / HASHES)
+    likely = _likely(threshold - MARGIN * error)
+    families, edges = None, None
+    for depth in depths(threshold):
+        known = classes.select("fp", "signature", F.col("fp").alias("family"))
+        if families is not None:
+            known = classes.join(families, classes["fp"] == families["node"], "left").select(
+                "fp", "signature", F.coalesce("label", "fp").alias("family"))
+        prefixes = F.explode(F.array(*(
+            F.xxhash64(F.lit(t), F.substring("signature", 4 * DEPTH * t + 1, 4 * depth)) for t in range(TREES))))
+        entries = known.select("fp", "family", prefixes.alias("group"))
+        nodes = entries.groupBy("group").agg(
+            F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("members"), F.min("fp").alias("least"),
+            F.min("family").alias("one"), F.max("family").alias("other")).where("one <> other")
+        nodes = stage(nodes.groupBy("n", "members", "least").agg(F.min("group").alias("group")).select("group", "n"),
+                      f"{name}-nodes")
+        live = stage(entries.join(nodes, "group").select("group", "n", "fp"), f"{name}-live")
+        members = live.join(classes.select("fp", F.col("signature").alias("value")), "fp")
+        found = stage(in_blocks(members).mapInArrow(likely, "a binary, b binary"), f"{name}-likely")
+        edges = found if edges is None else edges.unionByName(found)
+        families = components(edges, f"{name}-families")
+    return families
+
+
 def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                     name: str = "near") -> DataFrame:
     """One row for each document: (key, text_hash, class_id, copies, n_links, family).
@@ -222,20 +251,7 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         F.min(F.struct(F.col("key").isNull().alias("no_key"), "key", "text_hash")).alias("sample"), F.min("key").alias("least"),
         F.count("*").alias("copies"), F.min("signature").alias("signature")), f"{name}-classes")
 
-    depth = prefix_depth(threshold)
-    trees = F.posexplode(F.array(*(
-        F.xxhash64(F.lit(t), F.substring("signature", 4 * DEPTH * t + 1, 4 * depth)) for t in range(TREES))))
-    entries = classes.select("fp", trees.alias("tree", "group")).select("fp", "group")
-    groups = entries.groupBy("group").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("fp")).alias("members"), F.min("fp").alias("least_fp"))
-    groups = stage(groups.where("n > 1").groupBy("n", "members", "least_fp").agg(F.min("group").alias("group")).select("group", "n"),
-                   f"{name}-groups")
-    live = stage(entries.join(groups, "group"), f"{name}-live")
-    candidates = live.join(classes.select("fp", F.col("signature").alias("value")), "fp")
-    error = math.sqrt(threshold * (1 - threshold) / HASHES)
-    edges = in_blocks(candidates).mapInArrow(_likely(threshold - MARGIN * error), "a binary, b binary")
-    families = components(stage(edges, f"{name}-likely"), f"{name}-families")
-
+    families = _families(classes, threshold, name)
     sizes = families.groupBy("label").agg(F.count("*").alias("n"))
     members = stage(families.join(sizes, "label").join(classes.withColumnRenamed("fp", "node"), "node").select(
         F.col("label").alias("group"), "n", F.col("node").alias("fp"), "sample"), f"{name}-members")

@@ -53,9 +53,10 @@ def test_long_words_differ():
     assert len({tuple(_hash_of([w])) for w in (a, b, "x" * 128, "x" * 127, "x" * 129)}) == 5
 
 
-def test_prefix_depth_reaches_the_target():
-    depth = jaccard_forest.prefix_depth()
-    assert jaccard_forest.recall(0.8, depth) >= jaccard_forest.TARGET > jaccard_forest.recall(0.8, depth + 1)
+def test_prefixes_are_shortened_to_the_target():
+    levels = jaccard_forest.depths()
+    assert levels == list(range(jaccard_forest.DEPTH, levels[-1] - 1, -1))
+    assert jaccard_forest.recall(0.8, levels[-1]) >= jaccard_forest.TARGET > jaccard_forest.recall(0.8, levels[-1] + 1)
 
 
 def test_blocks_count_every_link_once(spark, monkeypatch):
