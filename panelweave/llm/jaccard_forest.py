@@ -267,7 +267,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     of_family = linked.groupBy("label").agg(F.min("least").alias("class_id"))
     known = linked.join(of_family, "label").select(F.col("node").alias("fp"), "label", "class_id", "n_links")
     by_class = classes.select("fp", "least", "copies").join(known, "fp", "left").select(
-        "fp", F.coalesce("label", "fp").alias("family"), F.coalesce("class_id", "least").alias("class_id"), "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "fp", F.coalesce("label", "fp").alias("family"), F.coalesce("class_id", "least").alias("class_id"), "copies",
+        F.coalesce("n_links", F.lit(0)).alias("n_links"))
     by_class = stage(by_class, f"{name}-by-class")
     documents = sketched.select("key", "text_hash", "fp")
     return documents.join(by_class, "fp", "left").select(

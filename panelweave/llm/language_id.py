@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelweave.llm.learning import averaged, shard_of
+from panelweave.llm.shingles import pieces
 from panelweave.session import stage
 
 BITS = 16
@@ -38,7 +39,7 @@ RATE, BETA, L1, L2 = 0.5, 1.0, 0.002, 0.01
 #: Every sixth document of the sample sets the temperature.
 CALIBRATION = 6
 SCALE = 20.0
-CHUNK_CHARS = 1 << 18
+CHUNK_BYTES = 1 << 18
 #: Tasks that add up the counts of all others.
 SLOTS = 16
 UNKNOWN = "und"
@@ -75,16 +76,8 @@ def grams(texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    for batch in batches:
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        begin = size = 0
-        for i, text in enumerate(texts):
-            if size and size + len(text) > CHUNK_CHARS:
-                yield batch.slice(begin, i - begin), texts[begin:i]
-                begin, size = i, 0
-            size += len(text) + 2
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+    for piece in pieces(batches, "text", CHUNK_BYTES):
+        yield piece, [text or "" for text in piece.column("text").to_pylist()]
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

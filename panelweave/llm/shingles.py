@@ -2,7 +2,7 @@
 
 Texts arrive lower-cased from Spark (``F.lower``). A word is a run of ASCII letters and
 digits and of any byte beyond ASCII; everything else stands between words. Documents
-are handled a few megabytes at a time, a longer one by itself, so memory follows the
+are handled a megabyte at a time, a longer one by itself, so memory follows the
 longest document.
 """
 
@@ -13,9 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 WIDTH = 5
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 _RANDOM = np.random.default_rng(7)
 _ODD = lambda n: _RANDOM.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE, _PLACE, _STEP = _ODD(256), _ODD(64), _ODD(WIDTH)
@@ -98,19 +99,24 @@ def word_hashes(texts: list[bytes]) -> Words:
     return Words(text.hashes(), text.first)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with the bytes of their texts (null: none), a few megabytes each."""
+def pieces(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with about ``most`` bytes of text each; a longer text is a slice by itself."""
     for batch in batches:
-        texts = batch.column(column).cast(pa.binary()).to_pylist()
-        begin = size = 0
-        for i, text in enumerate(texts):
-            texts[i] = text = text or b""
-            if size and size + len(text) > CHUNK_BYTES:
-                yield batch.slice(begin, i - begin), texts[begin:i]
-                begin, size = i, 0
-            size += len(text) + 1
-        if begin < len(texts):
-            yield batch.slice(begin), texts[begin:]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
+        begin = total = 0
+        for i, size in enumerate(sizes):
+            if total and total + size > most:
+                yield batch.slice(begin, i - begin)
+                begin, total = i, 0
+            total += size + 1
+        if begin < len(sizes):
+            yield batch.slice(begin)
+
+
+def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with the bytes of their texts (null: none)."""
+    for piece in pieces(batches, column, CHUNK_BYTES):
+        yield piece, [text or b"" for text in piece.column(column).cast(pa.binary()).to_pylist()]
 
 
 def distinct(shingles: np.ndarray, begin: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

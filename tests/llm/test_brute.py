@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelweave.llm import secret_scan
-from panelweave.llm.queries import QUERIES, op3, op4, op7
+from panelweave.llm.queries import CHECKS, QUERIES, op3, op4, op7
 from tests.llm import brute
+from tests.oracle import connect, difference
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +23,11 @@ def test_all_ten_are_registered():
     assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11))
 
 
+@pytest.mark.parametrize("name", sorted(CHECKS))
+def test_same_as_sql(spark, sf, name):
+    assert difference(QUERIES[name](spark, sf), connect(sf), CHECKS[name]) is None
+
+
 def test_near_duplicates(spark, more_texts):
     got = {r.doc_id: (r.class_id, r.copies, r.n_links) for r in op3(spark, "/root/testdata/sf0.01").collect()}
     assert got == brute.families(more_texts)
