@@ -2,7 +2,6 @@
 
 import math
 
-import pytest
 from pyspark.sql import functions as F
 
 from panelweave.functions import columns as C
