@@ -39,7 +39,8 @@ HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN_VALUE, ACCESS_LENGTH = 6, 20
 
-TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
+# An equals sign ends a token as padding, so that NAME=value is two tokens.
+TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 # Alphabets in the order in which they are tried, with their symbols in order.
 ALPHABETS = (
     ("digits", r"^[0-9]+$", "0123456789"),
