@@ -5,15 +5,16 @@ alphabet (chi-squared), no runs above or below the middle of the alphabet (runs
 and no link between neighbours (serial correlation). The three p-values are combined
 (Fisher) into one for "drawn evenly from its alphabet". Written language fails.
 
-False discoveries are held down in two ways, both within a family (alphabet and
-length band), because short tokens say little:
+False discoveries are held down in two ways:
 
-* Benjamini-Hochberg over all tokens of a family finds those that are not random.
-  P-values count in steps of 1/1000 of a decade, rounded up, so the counts that the
-  procedure needs are a table of bounded size whatever the corpus.
-* A token counts as random only if it is long enough that ordinary text of its length
-  would have been found not to be: the power of the chi-squared test against the
-  letter frequencies of language, at the family's own threshold, must reach 1 - q.
+* Benjamini-Hochberg over all tokens of a family (alphabet and length band) finds those
+  that are not random. P-values count in steps of 1/1000 of a decade, rounded up, so the
+  counts that the procedure needs are a table of bounded size whatever the corpus.
+* A token counts as random only if an even draw from its alphabet is at least 1 / q times
+  as likely as ordinary text in the same alphabet: words, names, paths and numbers, in
+  which case and kind of sign seldom change, vowels and consonants alternate and letters
+  have the frequencies of language. By Markov's inequality such text reaches that ratio
+  with probability q at most, at any length and in a corpus of any size.
 
 Every step is a DataFrame expression. No text is cut, no token dropped.
 """
@@ -52,12 +53,25 @@ ALPHABETS = (
     ("base62", r"^[0-9A-Za-z]+$", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", r"^[0-9A-Za-z+/_-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"),
 )
-#: Chance that two letters of ordinary text agree, and the same among the letters a to f.
-LANGUAGE, LANGUAGE_AF = 0.065, 0.25
+# Ordinary text. Letters by their largest share in English, French, German and Spanish, so that what
+# is rare in one of them tells nothing; the chance of each kind of symbol after another, and that a letter is a
+# vowel after a vowel, a consonant or no letter.
+LETTERS = dict(zip("abcdefghijklmnopqrstuvwxyz", (
+    11.5, 2.2, 4, 5.1, 16.4, 2.2, 3, 6.1, 7.5, 0.6, 1.4, 5.5, 3.2, 9.8, 8.7, 2.5, 1.4, 7, 8, 9.1, 6.3, 1.8, 2.4, 0.4, 2, 1.1), strict=True))
+KIND_AFTER = {
+    "start": {"lower": 0.60, "upper": 0.25, "digit": 0.10, "sign": 0.05},
+    "lower": {"lower": 0.88, "upper": 0.05, "digit": 0.02, "sign": 0.05},
+    "upper": {"lower": 0.55, "upper": 0.40, "digit": 0.02, "sign": 0.03},
+    "digit": {"lower": 0.06, "upper": 0.03, "digit": 0.83, "sign": 0.08},
+    "sign": {"lower": 0.50, "upper": 0.20, "digit": 0.15, "sign": 0.15},
+}
+#: The two styles of ordinary text, even odds each: capitals at the start of words, and whole words of them.
+STYLES = (KIND_AFTER, KIND_AFTER | {"upper": {"lower": 0.05, "upper": 0.82, "digit": 0.04, "sign": 0.09}})
+VOWEL_AFTER = {"vowel": 0.15, "consonant": 0.55, "": 0.38}
+GROUPS = (("start", ""), ("lower", "vowel"), ("lower", "consonant"), ("upper", "vowel"), ("upper", "consonant"), ("digit", ""), ("sign", ""))
 FALSE_SHARE = 0.01
 STEPS = 1000
 LEAST_P = 1e-30
-NEVER = 2_000_000_000
 
 
 def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
@@ -174,8 +188,56 @@ def combined(*p_values: Column) -> Column:
     return let(half, lambda h: F.exp(-h) * (1 + h + h * h / 2))
 
 
+def group_of(symbol: str) -> tuple[str, str]:
+    kind = "digit" if symbol.isdigit() else "lower" if symbol.islower() else "upper" if symbol.isupper() else "sign"
+    return kind, "" if kind in ("digit", "sign") else "vowel" if symbol.lower() in "aeiou" else "consonant"
+
+
+def ordinary_text(kind_after: dict[str, dict[str, float]]) -> tuple[list[int], list[float], list[float]]:
+    """Tables of the negative logarithm of the chance of a symbol, given the group of the one before, in ordinary text.
+
+    By alphabet and position the group of the symbol and the part that it adds within its
+    group; by alphabet, group before and group the part of the change. Chances add up to
+    one over each alphabet, so text is compared with text of the same symbols.
+    """
+    groups, within, change = [], [], []
+    for _, _, symbols in ALPHABETS:
+        weight = [0.0] * 64
+        for i, c in enumerate(symbols):
+            weight[i if i < 64 else i - 2] += LETTERS.get(c.lower(), 1.0)
+        group = [GROUPS.index(group_of(c)) for c in symbols[:64]]
+        mass = [sum(w for w, g in zip(weight, group, strict=False) if g == at) for at in range(len(GROUPS))]
+        groups += group + [0] * (64 - len(group))
+        within += [-math.log(w / mass[g]) for w, g in zip(weight, group, strict=False)] + [0.0] * (64 - len(group))
+        for kind, sound in GROUPS:
+            chance = [0.0 if not mass[at] else kind_after[kind][k] * (
+                {"vowel": VOWEL_AFTER[sound], "consonant": 1 - VOWEL_AFTER[sound]}.get(s, 1.0)) for at, (k, s) in enumerate(GROUPS)]
+            change += [-math.log(c / sum(chance)) if c else 0.0 for c in chance]
+    return groups, within, change
+
+
+def evidence(x: Column, alphabet: Column, k: Column) -> Column:
+    """Logarithm of how many times likelier an even draw from the alphabet is than ordinary text."""
+    table = lambda values, kind: F.split(F.lit(" ".join(map(str, values))), " ").cast(f"array<{kind}>")
+    (groups, within, _), *_ = styles = [ordinary_text(style) for style in STYLES]
+    groups, within, n = table(groups, "int"), table(within, "double"), len(GROUPS)
+    at = lambda v: alphabet * 64 + v.cast("int") - 1
+
+    def changes(own):
+        before = F.concat(F.array(F.lit(0)), F.slice(own, 1, F.size(own) - 1))
+        steps = F.zip_with(before, own, lambda a, b: (alphabet * n + a) * n + b)
+        return let(steps, lambda found: mean(*(
+            total(found, lambda i, change=change: F.get(table(change, "double"), i)) for _, _, change in styles)))
+
+    def mean(a, b):
+        return F.least(a, b) - F.log1p(F.exp(-F.abs(a - b))) + math.log(2)
+
+    text = total(x, lambda v: F.get(within, at(v))) + let(F.transform(x, lambda v: F.get(groups, at(v))), changes)
+    return text - F.size(x) * F.log(k)
+
+
 def battery(hit: Column) -> Column:
-    """(alphabet, n, level) of a token; level counts steps of log10 of the combined p-value, rounded down.
+    """(alphabet, n, level, evidence) of a token; level counts steps of log10 of the combined p-value, rounded down.
 
     Padding at the end does not count. Undefined tests (no variation) count as failed.
     """
@@ -185,7 +247,8 @@ def battery(hit: Column) -> Column:
         k = F.get(size, alphabet)
         p = combined(p_even(x, k), p_runs(x, k), p_serial(x))
         level = F.floor(-F.log10(F.greatest(p, F.lit(LEAST_P))) * STEPS)
-        return F.struct(alphabet.alias("alphabet"), F.size(x).alias("n"), level.cast("int").alias("level"))
+        return F.struct(alphabet.alias("alphabet"), F.size(x).alias("n"), level.cast("int").alias("level"),
+                        evidence(x, alphabet, k).alias("evidence"))
 
     return let(F.regexp_replace(hit, "=+$", ""), lambda core: let(alphabet_of(core), lambda alphabet: let(
         places(core, alphabet), lambda x: tests(core, alphabet, x))))
@@ -213,31 +276,6 @@ def thresholds(tokens: DataFrame) -> dict[tuple[int, int], int]:
     }
 
 
-def telling_length(alphabet: int, level: int) -> int:
-    """The least length at which ordinary text would reach ``level`` with probability 1 - q."""
-    name, _, symbols = ALPHABETS[alphabet]
-    k = min(len(symbols), 64)
-    same = {"digits": 0.1, "hex": LANGUAGE_AF, "HEX": LANGUAGE_AF}.get(name, LANGUAGE)
-
-    def reached(n: int) -> float:
-        away = n * (k * same - 1)
-        low = (k - 1 + away) - 2.326 * math.sqrt(2 * (k - 1 + 2 * away))
-        spread = 2 / (9 * (k - 1))
-        z = (math.copysign(abs(low / (k - 1)) ** (1 / 3), low) - (1 - spread)) / math.sqrt(spread)
-        half = -math.log(max(0.5 * math.erfc(z / math.sqrt(2)), LEAST_P)) + 2 * math.log(2)
-        p = math.exp(-half) * (1 + half + half * half / 2)
-        return -math.log10(max(p, LEAST_P)) * STEPS
-
-    if k * same <= 1:
-        return NEVER
-    n = 1
-    while reached(n) < level:
-        if n >= 1 << 20:
-            return NEVER
-        n *= 2
-    return next(i for i in range(n // 2, n + 1) if reached(i) >= level)
-
-
 def scan(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = (), name: str = "secrets") -> DataFrame:
     """Rows (row, known, random): spans of known kinds and of random tokens, each (start, kind, end, hit).
 
@@ -254,15 +292,14 @@ def scan(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = (), na
     tested = stage(tested, name)
     tokens = tested.select(F.explode("tested.test").alias("test")).select("test.*").where("alphabet is not null")
     families = thresholds(tokens)
-    rules = {f"{a}:{b}": (level, telling_length(a, level)) for (a, b), level in families.items()}
+    rules = {f"{a}:{b}": level for (a, b), level in families.items()}
     if not rules:
         return tested.select("row", "known", F.slice("known", 1, 0).alias("random"))
-    rule = F.create_map(*(x for key, (level, n) in sorted(rules.items()) for x in (
-        F.lit(key), F.struct(F.lit(level).alias("level"), F.lit(n).alias("n")))))
+    rule = F.create_map(*(F.lit(x) for pair in sorted(rules.items()) for x in pair))
 
     def random(t):
         test = t["test"]
-        found = F.element_at(rule, F.concat_ws(":", test["alphabet"].cast("string"), band(test["n"]).cast("string")))
-        return test["alphabet"].isNotNull() & (test["level"] < found["level"]) & (test["n"] >= found["n"])
+        level = F.element_at(rule, F.concat_ws(":", test["alphabet"].cast("string"), band(test["n"]).cast("string")))
+        return test["alphabet"].isNotNull() & (test["level"] < level) & (test["evidence"] >= -math.log(FALSE_SHARE))
 
     return tested.select("row", "known", F.transform(F.filter("tested", random), lambda t: t["span"]).alias("random"))
