@@ -1,7 +1,8 @@
 """Benchmark decontamination: windows as long as an item, SimHash, Hamming blocks, exact check.
 
 * Items and windows are multisets of word shingles. An item of n shingles is compared
-  with the windows of n shingles of every document.
+  with the windows of n shingles of every document, and with the whole of a document
+  that has fewer.
 * A window within the threshold shares so many shingles with its item that a count of
   them, taken from a bit table of all benchmark shingles, rules out nearly all windows
   before any is hashed. The table has a fixed largest size; a fuller table lets more
@@ -103,29 +104,33 @@ def _windows(table, table_bits: int, lengths: list[int], threshold: float):
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(table.value, dtype=np.uint8)
-        least = min(needed.values(), default=0)
+        least, longest = min(needed.values(), default=0), max(lengths, default=0)
+        least_short = min((math.ceil(threshold * n - 1e-9) for n in lengths), default=0)
         for batch, texts in S.chunks(batches, "text"):
             words = S.word_hashes(texts)
             shingles, begin = words.shingles()
             any_length = held(bits, _slots(shingles, 0, table_bits))
             sums = np.concatenate(([0], np.cumsum(any_length)))
-            enough = (sums[begin[1:]] - sums[begin[:-1]] >= least) & (np.diff(words.first) >= S.WIDTH)
+            wanted = np.where(np.diff(begin) < longest, least_short, least)
+            enough = (sums[begin[1:]] - sums[begin[:-1]] >= wanted) & (np.diff(words.first) >= S.WIDTH)
             at, start, n, fingerprints, elements = [], [], [], [], []
             for d in np.flatnonzero(enough):
                 own, known = shingles[begin[d]:begin[d + 1]], any_length[begin[d]:begin[d + 1]]
                 hits = np.flatnonzero(known)
                 for length in lengths:
-                    if length > len(own) or len(hits) < needed[length]:
+                    size = min(length, len(own))
+                    need = needed[length] if size == length else math.ceil(threshold / (1 + threshold) * (size + length) - 1e-9)
+                    if len(hits) < need or size < need:
                         continue
                     mine = np.zeros(len(own) + 1, dtype=np.int64)
                     mine[1 + hits[held(bits, _slots(own[hits], length, table_bits))]] = 1
                     total = np.cumsum(mine)
-                    for s in np.flatnonzero(total[length:] - total[:-length] >= needed[length]):
+                    for s in np.flatnonzero(total[size:] - total[:-size] >= need):
                         at.append(d)
                         start.append(s)
                         n.append(length)
-                        fingerprints.append(simhash(own[s:s + length]))
-                        elements.append(counted(own[s:s + length]).view(np.int64))
+                        fingerprints.append(simhash(own[s:s + size]))
+                        elements.append(counted(own[s:s + size]).view(np.int64))
             keys = batch.drop_columns(["text"]).take(pa.array(at, pa.int64()))
             yield pa.RecordBatch.from_arrays([
                 *keys.columns, pa.array(start, pa.int64()), pa.array(n, pa.int64()), pa.array(fingerprints, pa.binary()),
@@ -151,7 +156,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: s
     """Rows (key, text_hash, item, similarity, first_word, n_words, n_windows): documents that hold an item.
 
     A row for each document and item with its most similar window (the first of equals)
-    and the number of windows at the threshold. Items and documents with fewer than five
+    and the number of windows at the threshold. A document with fewer shingles than the
+    item is one window. Items and documents with fewer than five
     words have no shingle and match nothing. Null texts are empty. Rows that agree in key
     and text are reported once; a repeated item identifier counts with each of its texts.
     """
@@ -182,15 +188,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: s
     differ = sum((F.bit_count(half("fingerprint", at).bitwiseXOR(half("item_fingerprint", at))) for at in (1, 9)), F.lit(0))
     met = looked.join(filed, (F.col("n") == F.col("item_n")) & (F.col("block") == F.col("item_block"))).where(differ <= CLOSE)
     shared = F.size(F.array_intersect("elements", "item_elements"))
-    matches = met.select("window", "item", (shared / (2 * F.col("n") - shared)).alias("similarity")).where(
-        F.col("similarity") >= threshold - 1e-12).groupBy("window", "item").agg(F.max("similarity").alias("similarity"))
+    both = F.size("elements") + F.size("item_elements")
+    matches = met.select("window", "n", "item", (shared / (both - shared)).alias("similarity")).where(
+        F.col("similarity") >= threshold - 1e-12).groupBy("window", "n", "item").agg(F.max("similarity").alias("similarity"))
     matches = small_side(matches, f"{name}-matches")
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "n")).alias("best")
-    found = windows.select("key", "text_hash", "start", "n", "window").distinct().join(matches, "window").groupBy("key", "text_hash", "item").agg(
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("before"), "size")).alias("best")
+    found = windows.select("key", "text_hash", "start", "n", F.size("elements").alias("size"), "window").distinct().join(
+        matches, ["window", "n"]).groupBy("key", "text_hash", "item").agg(
         best, F.count("*").alias("n_windows"))
     return found.select(
         F.col("key").alias(key), "text_hash", F.col("item").alias(item), "best.similarity", (-F.col("best.before")).alias("first_word"),
-        (F.col("best.n") + S.WIDTH - 1).alias("n_words"), "n_windows")
+        (F.col("best.size").cast("long") + S.WIDTH - 1).alias("n_words"), "n_windows")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", name: str = "leaks", **settings) -> DataFrame:
