@@ -54,7 +54,12 @@ def counted(shingles: np.ndarray) -> np.ndarray:
 
 
 def simhash(shingles: np.ndarray) -> bytes:
-    """Bit by bit the majority of the shingles' hashes; a shingle weighs as often as it occurs."""
+    """Bit by bit the majority of the hashes of a multiset's elements.
+
+    Each occurrence of a shingle is an element of its own, so that the bits in which two
+    fingerprints differ follow the similarity that is verified, however often a shingle recurs.
+    """
+    shingles = counted(shingles)
     words = np.stack([S.mixed(shingles, 8), S.mixed(shingles, 9)], axis=1)
     bits = np.unpackbits(words.view(np.uint8), axis=1)
     return np.packbits(2 * bits.sum(0, dtype=np.int64) > len(shingles)).tobytes()

@@ -1,0 +1,20 @@
+"""Windows of which a stretch is overwritten by one word."""
+
+import numpy as np
+
+from panelweave.llm import decontaminate
+from tests.llm import brute
+
+
+def test_overwritten_stretch(spark):
+    draw = np.random.default_rng(6)
+    items, docs = [], []
+    for i in range(30):
+        words = [f"w{n}" for n in draw.integers(0, 10 ** 9, 200 if i % 2 else 150)]
+        items.append((i, " ".join(words)))
+        stretch = 17 if i % 2 else 12
+        docs.append((i, " ".join([*words[:40], *["again"] * stretch, *words[40 + stretch:]])))
+    want = brute.leaks(docs, items)
+    rows = decontaminate.leaks(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), name="repeated").collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == set(want) == {(i, i) for i in range(30)}
