@@ -71,7 +71,8 @@ SCHEMAS = {
 
 def conversation_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Turns as tool traffic: a system or user turn is a call that waits for the one two turns earlier, an
-    assistant turn is the result of the call one turn earlier."""
+    assistant turn is the result of the call one turn earlier. Turns of any other role, or none, are results that
+    name no call."""
     ident = lambda back: F.concat_ws(":", F.col("conv_id"), F.col("turn") - back)
     words = F.regexp_count("text", F.lit(common.WORD))
     system = F.col("role") == "system"
@@ -80,8 +81,8 @@ def conversation_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     calls = messages.where(F.col("role").isin("system", "user")).select(
         "conv_id", ident(0).alias("call_id"), ident(2).alias("after_id"),
         F.when(system, "configure").otherwise("reply").alias("name"), arguments.alias("arguments"), "turn")
-    results = messages.where(F.col("role") == "assistant").select(
-        "conv_id", ident(1).alias("call_id"), F.col("text").alias("content"), "turn")
+    results = messages.where(~F.coalesce(F.col("role").isin("system", "user"), F.lit(False))).select(
+        "conv_id", F.when(F.col("role") == "assistant", ident(1)).alias("call_id"), F.col("text").alias("content"), "turn")
     return calls, results
 
 
