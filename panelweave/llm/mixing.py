@@ -125,11 +125,12 @@ def first_words(text: Column, n: Column) -> Column:
 def mixed(docs: DataFrame, *, text: str = "text", chars: str = "n_chars", **settings) -> DataFrame:
     """The mix as documents: a row for each epoch that takes the document, texts cut where a budget ends.
 
-    A document without words comes along whole in each full epoch.
+    A document without words comes along whole in each full epoch, and once if there is none.
     """
     drawn = mix(docs, text=text, **settings)
     part = F.when(F.col("cut") > 0, F.array("cut")).otherwise(F.array().cast("array<bigint>"))
-    copies = F.concat(F.array_repeat("size", F.col("epochs")), part)
+    times = F.when(F.col("size") == 0, F.greatest(F.col("epochs"), F.lit(1))).otherwise(F.col("epochs"))
+    copies = F.concat(F.array_repeat("size", times), part)
     rows = drawn.select("row", "size", F.explode(copies).alias("words"))
     whole = F.col("words") == F.col("size")
     cut_text = F.when(whole, F.col("row")[text]).otherwise(first_words(F.col("row")[text], F.col("words")))
