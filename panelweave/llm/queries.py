@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelweave.llm import (
-    decontaminate, feistel, jaccard_forest, language_id, learning, line_dedup, mixing, quality_mil, quality_rules,
-    secret_scan, tool_calls,
+    decontaminate, feistel, hard_negatives, jaccard_forest, language_id, learning, line_dedup, mixing, quality_mil,
+    quality_rules, secret_scan, tool_calls,
 )
 from panelweave.llm import checks, common
 from panelweave.llm.common import table
@@ -134,3 +134,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality_mil.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
     scored = quality_mil.score(docs, model, carry=(F.col("doc_id"), held_out.alias("held_out")))
     return scored.select("row.*", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+@query("op11_hard_negatives", checks.NEGATIVES)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
