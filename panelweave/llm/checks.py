@@ -167,3 +167,27 @@ FROM positives JOIN scored USING (anchor_id)
 WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+URLS = """
+WITH parts AS (
+  SELECT page_id,
+         translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+rules(rule, host_, path_, verdict_) AS (VALUES
+  ('org/', 'org', '/', 'allow'), ('example.org/es/', 'example.org', '/es/', 'block'), ('example.org/en/1', 'example.org', '/en/1', 'block'),
+  ('com/fr/', 'com', '/fr/', 'allow'), ('com/de/', 'com', '/de/', 'block')),
+listed AS (
+  SELECT DISTINCT site FROM (
+    SELECT regexp_extract(host, '(^|\\.)(([^.]*-)?(adult|ads|bets|casino|pills|spam)(-[^.]*)?\\..+)$', 2) AS site FROM parts)
+  WHERE site <> ''),
+best AS (
+  SELECT host, path, max_by(rule, length(rule)) AS rule, max_by(verdict_, length(rule)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM parts) JOIN rules ON (host = host_ OR ends_with(host, '.' || host_)) AND starts_with(path, path_)
+  GROUP BY ALL),
+hosts AS (
+  SELECT host, max_by(site, length(site)) AS listed
+  FROM (SELECT DISTINCT host FROM parts) JOIN listed ON host = site OR ends_with(host, '.' || site) GROUP BY ALL)
+SELECT page_id, p.host, p.path, rule, coalesce(verdict, CASE WHEN listed IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed
+FROM parts p LEFT JOIN best b ON p.host = b.host AND p.path = b.path LEFT JOIN hosts h ON p.host = h.host
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelweave.llm import (
     decontaminate, feistel, hard_negatives, jaccard_forest, language_id, learning, line_dedup, mixing, quality_mil,
-    quality_rules, secret_scan, tool_calls,
+    quality_rules, secret_scan, tool_calls, url_filter,
 )
 from panelweave.llm import checks, common
 from panelweave.llm.common import table
@@ -141,3 +141,21 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
     return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+#: Rules of op12, and the words that put a site's host on its block list.
+RULES = {"org/": "allow", "example.org/es/": "block", "example.org/en/1": "block", "com/fr/": "allow", "com/de/": "block"}
+BLOCKED_WORDS = ("adult", "ads", "bets", "casino", "pills", "spam")
+
+
+def blocked_sites(pages: DataFrame) -> DataFrame:
+    """Hosts of the pages from the label on that holds one of the words between hyphens."""
+    site = F.regexp_extract(url_filter.host_of(F.col("url")), rf"(?:^|\.)((?:[^.]*-)?(?:{'|'.join(BLOCKED_WORDS)})(?:-[^.]*)?\..+)$", 1)
+    return pages.select(site.alias("entry")).where("entry <> ''").distinct()
+
+
+@query("op12_url_filter", checks.URLS)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    judged = url_filter.judge(pages, RULES, blocked_sites(pages), carry=("page_id",))
+    return judged.select("row.page_id", "host", "path", "rule", "verdict", "listed")
