@@ -19,8 +19,8 @@ def more_texts(spark):
     return [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
 
 
-def test_all_ten_are_registered():
-    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11))
+def test_all_thirteen_are_registered():
+    assert {int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
