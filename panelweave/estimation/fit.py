@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from math import erfc, exp, lgamma, log, pi, sqrt
+from math import ceil, erfc, exp, lgamma, log, pi, sqrt
 
 import numpy as np
 from pyspark import cloudpickle
@@ -29,6 +29,10 @@ MAX_STEPS = 200
 # squared length of a Newton step in standard errors below which the step taken is the last
 DECREMENT = 1e-12
 MAX_CONDITION = 1e12
+# levels that become columns of the design; effects of more are eliminated
+MOST_LEVELS = 200
+# rows that the driver adds up itself
+MOST_ADDED = 16
 
 
 class EstimationError(ValueError):
@@ -132,36 +136,47 @@ def _inverse(h: np.ndarray, what: str) -> tuple[np.ndarray, float]:
     return (lower.T @ lower) * np.outer(scale, scale), condition
 
 
-def _add_up(partials: DataFrame) -> dict[int, np.ndarray]:
-    """Sum the arrays of all tasks per model; the adding is done by the cluster."""
-    cells = (
-        partials.select("model", F.posexplode("sums").alias("cell", "value"))
-        .groupBy("model", "cell").agg(F.sum("value").alias("value")).collect()
-    )
-    sizes: dict[int, int] = {}
-    for c in cells:
-        sizes[c.model] = max(sizes.get(c.model, 0), c.cell + 1)
-    out = {m: np.zeros(size) for m, size in sizes.items()}
-    for c in cells:
-        out[c.model][c.cell] = c.value
-    return out
+def tree_sum(partials: DataFrame) -> np.ndarray | None:
+    """Sum of the arrays in ``sums`` (bytes of doubles, one row a task), None without rows.
+
+    Tasks hand their row to a few tasks that add them up, those to at most MOST_ADDED, and the driver adds what is left. The
+    order of adding is that of the tasks, so the same layout gives the same sum to the last bit.
+    """
+    adders = ceil(2 * sqrt(int(partials.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    for width in (adders, MOST_ADDED) if adders > MOST_ADDED else (adders,):
+        numbered = partials.select(F.spark_partition_id().alias("task"), "sums")
+        partials = numbered.repartition(width, F.pmod("task", F.lit(width))).sortWithinPartitions("task").mapInArrow(
+            kernels.add_sums, "sums binary")
+    rows = [np.frombuffer(r.sums, dtype=np.float64) for r in partials.collect()]
+    return sum(rows[1:], rows[0].copy()) if rows else None
+
+
+def _add_up(partials: DataFrame, sizes: dict[int, int]) -> dict[int, np.ndarray]:
+    """The summed arrays of all models, whose lengths are ``sizes``; empty without rows."""
+    total = tree_sum(partials)
+    return {} if total is None else dict(zip(sizes, np.split(total, np.cumsum(list(sizes.values()))[:-1]), strict=True))
 
 
 def gram(df: DataFrame, columns: list[str]) -> tuple[int, np.ndarray]:
     """Number of rows and XᵀX of the columns."""
     packed = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x"))
-    sums = _add_up(packed.mapInArrow(kernels.cross_products({0: len(columns)}), "model int, sums array<double>"))
-    scalars, _, square = kernels.unpack(sums[0], len(columns), 1, 0)
+    k = len(columns)
+    sums = tree_sum(packed.mapInArrow(kernels.cross_products({0: k}), "sums binary"))
+    if sums is None:
+        return 0, np.zeros((k, k))
+    scalars, _, square = kernels.unpack(sums, k, 1, 0)
     return int(scalars[0]), square
 
 
-def _levels(table: DataFrame, category: str, outcomes: list[str]) -> list[float]:
-    """Levels of the category in ascending order; each is a coefficient, so they are as few as those.
+def _levels(table: DataFrame, category: str, outcomes: list[str]) -> list[float] | None:
+    """Levels of the category in ascending order, each a coefficient; None if there are more than MOST_LEVELS.
 
     A level whose rows all have the same outcome has no finite coefficient.
     """
     ends = [f(o).alias(f"{f.__name__}_{o}") for o in outcomes for f in (F.min, F.max)]
-    rows = table.groupBy(category).agg(*ends).collect()
+    rows = table.groupBy(category).agg(*ends).limit(MOST_LEVELS + 1).collect()
+    if len(rows) > MOST_LEVELS:
+        return None
     for row in rows:
         for o in outcomes:
             if row[f"min_{o}"] == row[f"max_{o}"]:
@@ -182,7 +197,8 @@ def fit_models(
 
     ``table`` is read once or twice; the columns that the models need are written,
     sorted by cluster, and read once per Newton step. A regressor or outcome
-    ``<v>_within`` needs the columns ``<v>`` and ``<v>_mean``.
+    ``<v>_within`` needs the columns ``<v>`` and ``<v>_mean``. Models with sector effects of
+    more than MOST_LEVELS levels have them eliminated (``absorb.fit_absorbed``) and report no dummies.
     """
     used = list(dict.fromkeys(c for s in specs for c in s.regressors))
     differences = {c: _parts(c) for c in used if len(_parts(c)) == 2}
@@ -197,10 +213,16 @@ def fit_models(
 
 
 def _fitted(rows, specs, cluster, category, used, differences, outcomes) -> list[Fit]:
-    levels: list[float] = []
+    levels: list[float] | None = []
     by_sector = [s for s in specs if s.sector]
     if by_sector:
         levels = _levels(rows, category, sorted({s.outcome for s in by_sector}))
+    if levels is None:
+        from panelweave.estimation.absorb import fit_absorbed
+
+        others = iter(_fitted(rows, [s for s in specs if not s.sector], cluster, category, used, differences, outcomes)
+                      if len(by_sector) < len(specs) else [])
+        return [fit_absorbed(rows, s, cluster, category) if s.sector else next(others) for s in specs]
     columns = [c for c in used if c not in differences]
     design = kernels.Design(columns, differences, outcomes, category, levels[1:])
     place = {t: i for i, t in enumerate(design.terms)}
@@ -253,9 +275,8 @@ def _newton(rows, design, equations, names):
     moving, last = dict(equations), set()
     for _ in range(MAX_STEPS):
         at = {m: betas[m] for m in moving}
-        found = _add_up(rows.mapInArrow(
-            kernels.likelihood_sums(design, moving, at), "model int, sums array<double>"
-        ))
+        sizes = {m: kernels.packed_size(e.size) for m, e in moving.items()}
+        found = _add_up(rows.mapInArrow(kernels.likelihood_sums(design, moving, at), "sums binary"), sizes)
         if not found:
             raise EstimationError("the sample is empty")
         for m in list(moving):
@@ -286,14 +307,14 @@ def _meat(rows, design, equations, betas):
     that may go on in another file: two a file at most, whatever the number of rows.
     """
     widths = {m: e.size for m, e in equations.items()}
+    sizes = {m: kernels.packed_size(k, 1, 0) for m, k in widths.items()}
     found = rows.mapInArrow(
-        kernels.group_scores(design, equations, betas), "model int, group long, sums array<double>")
+        kernels.group_scores(design, equations, betas), "group long, vector array<double>, sums binary")
     with staged(found, "scores") as found:
-        cut = found.filter("model IS NULL").groupBy("group").agg(
-            *[F.expr(f"sum(sums[{i}]) AS u{i}") for i in range(sum(widths.values()))])
-        put_together = cut.select(F.array(*cut.columns[1:]).alias("x")).mapInArrow(
-            kernels.cross_products(widths), "model int, sums array<double>")
-        total = _add_up(found.filter("model IS NOT NULL").select("model", "sums").unionByName(put_together))
+        cut = found.filter("sums IS NULL").groupBy("group").agg(
+            *[F.expr(f"sum(vector[{i}]) AS u{i}") for i in range(sum(widths.values()))])
+        put_together = cut.select(F.array(*cut.columns[1:]).alias("x")).mapInArrow(kernels.cross_products(widths), "sums binary")
+        total = _add_up(found.filter("sums IS NOT NULL").select("sums").unionByName(put_together), sizes)
     meat = {}
     for m, k in widths.items():
         (clusters,), _, meat[m] = kernels.unpack(total[m], k, 1, 0)

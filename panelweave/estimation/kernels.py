@@ -150,6 +150,11 @@ def pack(scalars, vectors, square):
     return np.concatenate([scalars, *vectors, square[np.triu_indices(len(square))]])
 
 
+def packed_size(k, n_scalars=N_SCALARS, n_vectors=2):
+    """Length of what ``pack`` makes of so many scalars and vectors of length k."""
+    return n_scalars + n_vectors * k + k * (k + 1) // 2
+
+
 def unpack(values, k, n_scalars=N_SCALARS, n_vectors=2):
     """Inverse of ``pack``: scalars, vectors, full symmetric matrix."""
     split = n_scalars + n_vectors * k
@@ -159,11 +164,20 @@ def unpack(values, k, n_scalars=N_SCALARS, n_vectors=2):
     return values[:n_scalars], vectors, square + square.T - np.diag(np.diag(square))
 
 
-def sums_batch(models, totals):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(models, pa.int32()), pa.array([t.tolist() for t in totals], pa.list_(pa.float64()))],
-        names=["model", "sums"],
-    )
+def sums_batch(totals):
+    """The sums of a task as one row of plain bytes, the models one after the other."""
+    return pa.RecordBatch.from_arrays([pa.array([np.concatenate(list(totals)).tobytes()], pa.binary())], names=["sums"])
+
+
+def add_sums(batches):
+    """Kernel: the rows of a task added up to one."""
+    total = None
+    for batch in batches:
+        for part in batch.column("sums"):
+            values = np.frombuffer(part.as_buffer(), dtype=np.float64)
+            total = values.copy() if total is None else total + values
+    if total is not None:
+        yield sums_batch([total])
 
 
 def likelihood_sums(design, equations, betas):
@@ -186,18 +200,18 @@ def likelihood_sums(design, equations, betas):
                 )
                 totals[m] = totals[m] + part if m in totals else part
         if totals:
-            yield sums_batch(list(totals), list(totals.values()))
+            yield sums_batch(totals.values())
 
     return run
 
 
 def group_scores(design, equations, betas):
-    """Kernel: per model the number of groups and the squares of their summed scores; models lie side by side.
+    """Kernel: per model the number of groups and the squares of their summed scores (column ``sums``); models lie side by side.
 
     Rows come as (group, row, x), sorted by group within a file, ``row`` counting
     the rows of the file. A group that another follows and precedes in the same file
     is whole. The first and the last of a file, or of a piece of it, may go on
-    elsewhere; their sums are handed out as they are, with no model.
+    elsewhere; their summed scores are handed out as they are, in ``vector``.
     """
     widths = {m: e.size for m, e in equations.items()}
 
@@ -238,15 +252,14 @@ def group_scores(design, equations, betas):
             cut += [(int(keys[i]), sums[:, i]) for i in np.flatnonzero(~whole)]
         if open_key is not None:
             cut.append((open_key, open_sum))
-        if totals or cut:
-            models = [*totals, *[None] * len(cut)]
-            groups = [*[None] * len(totals), *(key for key, _ in cut)]
-            vectors = [*totals.values(), *(u for _, u in cut)]
+        if cut:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([key for key, _ in cut], pa.int64()), pa.array([u.tolist() for _, u in cut], pa.list_(pa.float64())),
+                 pa.nulls(len(cut), pa.binary())], names=["group", "vector", "sums"])
+        if totals:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(models, pa.int32()), pa.array(groups, pa.int64()),
-                 pa.array([v.tolist() for v in vectors], pa.list_(pa.float64()))],
-                names=["model", "group", "sums"],
-            )
+                [pa.nulls(1, pa.int64()), pa.nulls(1, pa.list_(pa.float64())), sums_batch(totals.values()).column(0)],
+                names=["group", "vector", "sums"])
 
     return run
 
@@ -272,6 +285,6 @@ def cross_products(widths):
                 continue
             totals = add_squares(totals, packed(batch), widths)
         if totals:
-            yield sums_batch(list(totals), list(totals.values()))
+            yield sums_batch(totals.values())
 
     return run

@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from panelweave.estimation import kernels, report
-from panelweave.estimation.fit import EstimationError, ModelSpec, chi2_tail, fit_models, gram, normal_p, null_log_lik
+from panelweave.estimation.fit import (
+    EstimationError, ModelSpec, chi2_tail, fit_models, gram, normal_p, null_log_lik, tree_sum,
+)
 
 CDF = np.vectorize(lambda x: 0.5 * math.erfc(-x / math.sqrt(2)))
 
@@ -142,11 +144,11 @@ def test_groups_cut_by_files_and_batches(cuts, files):
         ["group", "row", "x"]) for a, b in zip(bounds, bounds[1:])]
     square, count, pieces = np.zeros((2, 2)), 0, {}
     for out in kernels.group_scores(plan, equations, {0: np.zeros(2)})(iter(batches)):
-        for model, key, sums in zip(*(out.column(i).to_pylist() for i in range(3))):
-            if model is None:
-                pieces[key] = pieces.get(key, 0) + np.array(sums)
+        for key, vector, sums in zip(*(out.column(i).to_pylist() for i in range(3))):
+            if sums is None:
+                pieces[key] = pieces.get(key, 0) + np.array(vector)
             else:
-                (n,), _, part = kernels.unpack(np.array(sums), 2, 1, 0)
+                (n,), _, part = kernels.unpack(np.frombuffer(sums), 2, 1, 0)
                 square, count = square + part, count + n
     square = square + sum((np.outer(u, u) for u in pieces.values()), np.zeros((2, 2)))
     u = np.array([[y[group == g].sum(), (x * y)[group == g].sum()] for g in range(1, 6)])
@@ -212,6 +214,31 @@ def test_refusals(spark):
         fit_models(twice.filter("false"), [ModelSpec("", "L", "logit", "y", ("a",))])
 
 
+@pytest.mark.parametrize("tasks", [1, 7, 300])
+def test_tree_sum_adds_one_row_of_each_task(spark, tasks, monkeypatch):
+    monkeypatch.setattr("panelweave.estimation.fit.MOST_ADDED", 2)
+    rng = np.random.default_rng(tasks)
+    parts = rng.normal(size=(tasks, 5))
+    rows = spark.createDataFrame([(p.tobytes(),) for p in parts], "sums binary").repartition(tasks)
+    first = tree_sum(rows)
+    np.testing.assert_allclose(first, parts.sum(0), rtol=1e-9, atol=1e-12)
+    assert (tree_sum(rows) == first).all()
+    assert tree_sum(rows.where("sums IS NULL")) is None
+
+
+def test_sums_travel_as_one_row_a_task(spark, capsys):
+    """No cell of a matrix is a row: a step's plan has exchanges of numbered byte rows only, and no Generate."""
+    pid, x, sector, y = data()
+    df = table(spark, pid, x, sector, y)
+    packed = df.select(F.array("a", "b").alias("x")).mapInArrow(kernels.cross_products({0: 2}), "sums binary")
+    assert packed.count() == df.rdd.getNumPartitions()
+    gram(df, ["a", "b"])
+    numbered = packed.select(F.spark_partition_id().alias("task"), "sums").repartition(4, F.pmod("task", F.lit(4)))
+    numbered.mapInArrow(kernels.add_sums, "sums binary").explain("formatted")
+    plan = capsys.readouterr().out
+    assert "Generate" not in plan and "Aggregate" not in plan and "[task#" in plan
+
+
 def test_gram(spark):
     pid, x, sector, y = data(100)
     n, square = gram(table(spark, pid, x, sector, y), ["a", "b", "sector"])

@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from panelweave.estimation import report
+from panelweave.estimation.absorb import fit_absorbed
 from panelweave.estimation.fit import ModelSpec, fit_models, gram, null_log_lik
 from panelweave.fixed_values import ACTUAL, CONTROLS, TIME_VARYING, WILLING
 from panelweave.functions import columns as C
@@ -131,6 +132,18 @@ def fe_lpm_totals(spark, sf_dir):
     return parts[0].unionByName(parts[1])
 
 
+@query("lpm_person_effects", f"""{_FE_SQL}
+    SELECT 'plh0173' AS term, groups AS levels, n, round(beta_a, 6) AS estimate,
+           round(sqrt(f * (n - 2.0) / (n - 2.0 - groups) * va) / det, 6) AS std_err FROM v
+    UNION ALL SELECT 'plb0193_h', groups, n, round(beta_b, 6), round(sqrt(f * (n - 2.0) / (n - 2.0 - groups) * vb) / det, 6) FROM v""")
+def lpm_person_effects(spark, sf_dir):
+    """An effect for each person, eliminated: the within estimates, with errors that count the effects."""
+    regressors = ("plh0173", "plb0193_h")
+    fit = fit_absorbed(_within_table(spark, sf_dir, regressors), ModelSpec("", "LPM", "linear", WILLING, regressors), category="pid")
+    rows = [(term, fit.levels, fit.n, b, se) for term, b, se, _, _ in fit.coefficients()]
+    return rounded(spark.createDataFrame(rows, "term string, levels long, n long, estimate double, std_err double"), 6, "estimate", "std_err")
+
+
 # -- binary models with a closed form ----------------------------------------------------
 
 def _stage1(spark, sf_dir, *columns):
@@ -330,6 +343,25 @@ for _name, _model in zip(
     query(_name, fit_sql.coefficients(_model))(_one_model(_model.number))
 
 
+def _absorbed(spark, sf_dir, number):
+    """A model of the preference table with sector effects eliminated."""
+    (spec,) = (s for s in suites.binary_specs(sample.PREFERENCE) if s.number == number)
+    return fit_absorbed(_stage1(spark, sf_dir, *CONTROLS, "sector"), spec)
+
+
+for _model in (S1[1], S1[3]):
+    @query(f"{_model.label.lower()}_absorbed", fit_sql.coefficients(_model, CONTROLS_SQL.split(", ")))
+    def absorbed(spark, sf_dir, number=_model.number):
+        """Coefficients as of the model with a dummy for each sector."""
+        return _tidy(report.coefficients(spark, "Preference", [_absorbed(spark, sf_dir, number)]))
+
+
+@query("absorbed_effects", fit_sql.effects([S1[1], S1[3]]))
+def absorbed_effects(spark, sf_dir):
+    """Average marginal effects, which depend on the sectors' effects."""
+    return _tidy(report.effects(spark, "Preference", [_absorbed(spark, sf_dir, m.number) for m in (S1[1], S1[3])]))
+
+
 @query("ame_table", fit_sql.effects(S1))
 def ame_table(spark, sf_dir):
     return _tidy(report.effects(spark, "Preference", suites.preference_models(inputs.master(spark, sf_dir))))

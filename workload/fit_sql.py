@@ -204,8 +204,12 @@ def text(models: list[Model], body: str) -> str:
     return f"WITH {used}\n{body}"
 
 
-def coefficients(m: Model) -> str:
-    tidy = f"SELECT {m.head()}, term_no::INTEGER AS term_no, term, estimate, std_err, estimate / std_err AS z FROM {m.name}_c"
+def coefficients(m: Model, terms: list[str] | None = None) -> str:
+    """All coefficients, or only those of ``terms``, numbered anew."""
+    number, only = "term_no", ""
+    if terms is not None:
+        number, only = f"(list_position({terms}, term) - 1)", f" WHERE term IN ({', '.join(map(repr, terms))})"
+    tidy = f"SELECT {m.head()}, {number}::INTEGER AS term_no, term, estimate, std_err, estimate / std_err AS z FROM {m.name}_c{only}"
     return text([m], f"""SELECT stage, model_no, model, sector_fe, term_no, term, round(estimate, 6) AS estimate,
         round(std_err, 6) AS std_err, round(z, 4) AS z, round(p, 5) AS p_value, {stars('p')} AS stars
       FROM (SELECT *, {p_value('z')} AS p FROM ({tidy}))""")
