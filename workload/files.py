@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from panelweave.plans.master import build_master
 from panelweave.session import stage, stage_folder
-from panelweave.sources import tables
+from panelweave.sources import tables, versions
 from workload.catalog import query
 from workload.frames import REGISTRY, frame
 from workload.joining import MASTER_COLUMNS
@@ -72,8 +72,7 @@ def refreshed_tables(spark, sf_dir):
     refreshed("missing", False, everything)
     refreshed("missing", True, [])
     path = tables.table_path(folder, "pl")
-    slim = stage(spark.read.parquet(path).drop("plh0173"), "slim")
-    tables.replace_table(spark, path, lambda to: tables.write_by_year(slim, to))
+    tables.write_version(versions.read(spark, path).drop("plh0173"), path)
     refreshed("stale", True, ["pl"])
     refreshed("force", True, everything)
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -87,3 +86,30 @@ def master_from_files(spark, sf_dir):
     build_master(spark, registry, folder)
     master = tables.load_master(spark, f"{folder}/master.parquet")
     return master.select(*MASTER_COLUMNS.split(", "), F.round("sqm_per_head", 6).alias("sqm_per_head"), "sector")
+
+
+@query("refreshed_years", """
+    WITH m AS (SELECT (min(syear) + max(syear)) // 2 AS y FROM pl)
+    SELECT syear, CASE WHEN syear < m.y THEN 1 WHEN syear = m.y THEN 3 ELSE 2 END AS version,
+           count(*) AS persons, count(plh0173) AS answers, sum(plh0173) AS total
+    FROM c_pl, m GROUP BY ALL""")
+def refreshed_years(spark, sf_dir):
+    """New waves and late answers come as further files: only their years are read again, each version keeps the others."""
+    registry = _survey_files(spark, sf_dir, [n for n in REGISTRY.raw_columns() if n != "pl"])
+    source, folder = registry.csv_path("pl"), f"{registry.survey_dir}/tables"
+    waves = frame(spark, sf_dir, "pl")
+    first, last = waves.agg(F.min("syear"), F.max("syear")).first()
+    middle = (first + last) // 2
+    late = F.col("pid") % 3 == 0
+    deliveries = (
+        (F.col("syear") < middle) | ((F.col("syear") == middle) & ~late), F.col("syear") > middle, (F.col("syear") == middle) & late)
+    for rows in deliveries:
+        waves.where(rows).write.option("header", True).mode("append").csv(source)
+        if "pl" not in tables.refresh(spark, registry, folder):
+            raise AssertionError("changed files were not read")
+    path = tables.table_path(folder, "pl")
+    version = versions.latest(spark, path)
+    written = spark.createDataFrame([(int(part.split("=")[1]), n) for part, n in version.years().items()], "syear int, version int")
+    by_year = versions.read(spark, path, version).groupBy("syear").agg(
+        F.count("*").alias("persons"), F.count("plh0173").alias("answers"), F.sum("plh0173").alias("total"))
+    return written.join(by_year, "syear").select("syear", "version", "persons", "answers", "total")
