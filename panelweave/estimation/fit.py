@@ -16,7 +16,7 @@ from math import ceil, erfc, exp, lgamma, log, pi, sqrt
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelweave.estimation import kernels
@@ -191,12 +191,13 @@ def _parts(name: str) -> tuple[str, ...]:
 
 
 def fit_models(
-    table: DataFrame, specs: list[ModelSpec], cluster: str = "pid", category: str = "sector"
+    table: DataFrame, specs: list[ModelSpec], cluster: str = "pid", category: str = "sector", by_cluster: bool = False
 ) -> list[Fit]:
     """Fit all specs on the rows of ``table``, clustered by ``cluster``.
 
     ``table`` is read once or twice; the columns that the models need are written,
-    sorted by cluster, and read once per Newton step. A regressor or outcome
+    sorted by cluster, and read once per Newton step. With ``by_cluster`` a cluster goes to one
+    task as a whole, which moves no rows if they lie by cluster, as those of a person layout do. A regressor or outcome
     ``<v>_within`` needs the columns ``<v>`` and ``<v>_mean``. Models with sector effects of
     more than MOST_LEVELS levels have them eliminated (``absorb.fit_absorbed``) and report no dummies.
     """
@@ -208,7 +209,13 @@ def fit_models(
     narrow = table.select(cluster, *[F.col(c).cast("double").alias(c) for c in needed])
     # rows of one cluster lie next to each other; one with very many rows goes over several files
     order = [F.col(cluster), F.xxhash64(*needed)]
-    with staged(narrow.repartitionByRange(*order).sortWithinPartitions(cluster), "design") as rows:
+    if by_cluster:
+        # a window asks for clusters as a whole, and sorted; Spark sees whether they lie so already
+        counted = narrow.withColumn("_rows", F.count("*").over(Window.partitionBy(cluster)))
+        placed = counted.where("_rows > 0").drop("_rows")
+    else:
+        placed = narrow.repartitionByRange(*order).sortWithinPartitions(cluster)
+    with staged(placed, "design") as rows:
         return _fitted(rows, specs, cluster, category, used, differences, outcomes)
 
 

@@ -13,7 +13,7 @@ PERSON_KEY = ["pid", "syear"]
 HOUSEHOLD_KEY = ["hid", "syear"]
 
 
-def _unique(met: Column, what: str) -> Column:
+def unique_or_fail(met: Column, what: str) -> Column:
     """True, or a failed job when a key has more than one row."""
     message = F.lit(f"duplicate key in {what}")
     return F.when(~met, F.raise_error(message).cast("boolean")).otherwise(True)
@@ -47,7 +47,7 @@ def merge_person_tables(
         F.count("*").alias("_rows"),
         F.bit_count(F.bit_or("_table")).alias("_tables"),
     )
-    return merged.filter(_unique(F.col("_rows") == F.col("_tables"), "a person table")).select(*keys, *flat)
+    return merged.filter(unique_or_fail(F.col("_rows") == F.col("_tables"), "a person table")).select(*keys, *flat)
 
 
 def _full_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -66,7 +66,7 @@ def check_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """One row per key, or a failed job."""
     values = [c for c in df.columns if c not in keys]
     rows = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[F.max(c).alias(c) for c in values])
-    return rows.filter(_unique(F.col("_n") == 1, what)).drop("_n")
+    return rows.filter(unique_or_fail(F.col("_n") == 1, what)).drop("_n")
 
 
 def add_household_tables(

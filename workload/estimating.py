@@ -1,5 +1,6 @@
 """Model fits: cases with a closed form, and the published suites checked by fits in SQL."""
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import functions as F
@@ -12,7 +13,8 @@ from panelweave.functions import columns as C
 from panelweave.operators import panel, sample
 from panelweave.operators.derive import treatment_dummies
 from panelweave.plans import suites
-from panelweave.session import stage
+from panelweave.session import stage, stage_folder
+from panelweave.sources import layout
 from workload import fit_sql, inputs
 from workload.catalog import query, rounded
 from workload.frames import CONTROLS_SQL, table
@@ -87,6 +89,20 @@ def within_r2(spark, sf_dir):
     return rounded(report.model_stats(spark, "Preference", fits).select("n", "clusters", "r2"), 6, "r2")
 
 
+@query("layout_fit", f"""{_FE_SQL}
+    SELECT 'plh0173' AS term, round(beta_a, 6) AS estimate, round(sqrt(f * va) / det, 6) AS std_err FROM v
+    UNION ALL SELECT 'plb0193_h', round(beta_b, 6), round(sqrt(f * vb) / det, 6) FROM v""")
+def layout_fit(spark, sf_dir):
+    """The within estimates from rows that lie by person: means and scores move none."""
+    regressors = ("plh0173", "plb0193_h")
+    rows = sample.analysis_sample(inputs.master(spark, sf_dir), sample.PREFERENCE_WITHIN).select("pid", "syear", WILLING, *regressors)
+    stored = layout.write_by_person(rows, f"{stage_folder(spark)}/layout-{uuid.uuid4().hex}", 8)
+    design = layout.write_by_person(layout.add_person_means(stored, [WILLING, *regressors]), f"{stage_folder(spark)}/layout-{uuid.uuid4().hex}", 8)
+    spec = ModelSpec("", "FE LPM", "linear", f"{WILLING}_within", tuple(f"{r}_within" for r in regressors), intercept=False)
+    fits = suites.rename_within(fit_models(design, [spec], by_cluster=True))
+    return rounded(report.coefficients(spark, "Preference", fits).select("term", "estimate", "std_err"), 6, "estimate", "std_err")
+
+
 @query("linear_mundlak_equals_fe", """
     WITH d AS (SELECT plb0097 - avg(plb0097) OVER p AS y, plh0173 - avg(plh0173) OVER p AS x
                FROM w1 WINDOW p AS (PARTITION BY pid))

@@ -1,9 +1,13 @@
 """Merging person tables, joining households and dimensions."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelweave.fixed_values import STATES
 from panelweave.operators import assemble, shares
+from panelweave.session import stage_folder
+from panelweave.sources import layout
 from panelweave.sources.tables import states
 from workload import inputs
 from workload.catalog import query
@@ -26,6 +30,25 @@ def panel_full_join(spark, sf_dir):
     return merged.select("pid", "syear", "hid", "plb0097", "pgemplst", "i11102")
 
 
+def person_layout(spark, sf_dir):
+    """The person tables laid out by person, and their merge."""
+    folder = f"{stage_folder(spark)}/layout-{uuid.uuid4().hex}"
+    paths = []
+    for i, table in enumerate(person_tables(spark, sf_dir)):
+        paths.append(f"{folder}/{i}")
+        layout.write_by_person(table, paths[-1], 8, f"t{i}")
+    return layout.merge_by_person(spark, paths, f"{folder}/merged")
+
+
+@query("layout_merge", f"""SELECT {PERSON_COLUMNS}, round(avg(plh0173) OVER p, 6) AS plh0173_mean, round(avg(i11102) OVER p, 4) AS i11102_mean
+    FROM person WINDOW p AS (PARTITION BY pid)""")
+def layout_merge(spark, sf_dir):
+    """Tables that lie by person merged and given person means where they lie."""
+    with_means = layout.add_person_means(person_layout(spark, sf_dir), ["plh0173", "i11102"])
+    return with_means.select(*PERSON_COLUMNS.split(", "), F.round("plh0173_mean", 6).alias("plh0173_mean"),
+                             F.round("i11102_mean", 4).alias("i11102_mean"))
+
+
 @query("household_left_join", "SELECT pid, syear, hid, hlf0019_h FROM panel")
 def household_left_join(spark, sf_dir):
     people = assemble.merge_person_tables(person_tables(spark, sf_dir)).select("pid", "syear", "hid")
