@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelweave.sources.records import quoted_records
+
 VARIABLE_FIELDS = ("study", "dataset", "version", "variable", "label", "label_de")
 VALUE_FIELDS = ("study", "dataset", "version", "variable", "value", "label", "label_de")
 QUOTED = '"[^"]*"'
@@ -13,27 +15,21 @@ QUOTED = '"[^"]*"'
 def _scan(spark: SparkSession, glob: str, fields: tuple[str, ...], least: int, suffix: str) -> DataFrame:
     """All files of a glob as text; rows with fewer than ``least`` fields are dropped.
 
-    Quoted fields may hold line breaks and doubled quotes, so a file is read by one
-    task; codebooks come as many files. ``source`` is the file name without its suffix;
-    ``position`` orders the rows as they stand in the files. Header rows are kept:
-    they can match a search. A missing trailing field counts as empty.
+    Quoted fields may hold line breaks and doubled quotes; a file is read by many tasks all the same.
+    ``source`` is the file name without its suffix; ``position`` orders the rows as they stand in
+    the files. Header rows are kept: they can match a search. A missing trailing field counts as empty.
 
     A row with another number of fields than named is handed out as it stands;
     its fields are counted as the commas left when the quoted parts are taken out.
     """
     schema = ", ".join(f"{f} string" for f in (*fields, "_other"))
-    rows = (
-        spark.read.option("multiLine", True).option("quote", '"').option("escape", '"')
-        .option("columnNameOfCorruptRecord", "_other").schema(schema).csv(glob)
-    )
+    options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_other"}
+    rows = quoted_records(spark, glob).select("file", "position", F.from_csv("text", F.lit(schema), options).alias("row")).select(
+        "file", "position", "row.*")
     commas = F.length(F.regexp_replace(F.regexp_replace("_other", QUOTED, ""), "[^,]+", ""))
-    file = F.col("_metadata.file_name")
-    # the length is never negative; it makes Spark parse the fields even where a query needs none of them
-    parsed = F.length(F.concat_ws("", *fields)) >= 0
-    return rows.filter(parsed & (F.col("_other").isNull() | (commas + 1 >= least))).select(
-        F.regexp_replace(file, f"{suffix}$", "").alias("source"),
-        F.struct(file.alias("file"), F.monotonically_increasing_id().alias("row")).alias("position"),
-        *[F.coalesce(f, F.lit("")).alias(f) for f in fields],
+    file = F.url_decode(F.replace(F.regexp_extract("file", "([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
+    return rows.filter(F.col("_other").isNull() | (commas + 1 >= least)).select(
+        F.regexp_replace(file, f"{suffix}$", "").alias("source"), "position", *[F.coalesce(f, F.lit("")).alias(f) for f in fields],
     )
 
 
