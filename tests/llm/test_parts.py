@@ -8,7 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from panelweave.llm import decontaminate, feistel, jaccard_forest, language_id, line_dedup, mixing, quality_mil, shingles, tool_calls
+from panelweave.llm import decontaminate, feistel, jaccard_forest, language_id, line_dedup, mixing, shingles, tool_calls
 from panelweave.llm.components import components
 from tests.llm import brute
 
@@ -139,26 +139,6 @@ def test_first_words(spark):
     assert [r[0] for r in rows.select(mixing.first_words(F.col("text"), F.col("n"))).collect()] == [" a  b", "x", "", ""]
 
 
-def test_gradient_is_that_of_the_loss():
-    draw = np.random.default_rng(4)
-    begin = np.array([0, 3, 4, 9])
-    x, y = draw.normal(size=(9, quality_mil.FEATURES)), np.array([1.0, 0.0, 1.0])
-    model = [p + draw.normal(0, 0.1, p.shape) for p in quality_mil.start_model()]
-
-    def loss():
-        p, _ = quality_mil.forward(model, x, begin)
-        return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean()
-
-    for part, slope in zip(model, quality_mil.gradient(model, x, begin, y), strict=True):
-        at = tuple(draw.integers(0, s) for s in part.shape)
-        part[at] += 1e-6
-        up = loss()
-        part[at] -= 2e-6
-        down = loss()
-        part[at] += 1e-6
-        assert slope[at] == pytest.approx((up - down) / 2e-6, rel=1e-4, abs=1e-7)
-
-
 def test_penalty_leaves_weights_zero():
     z = np.array([[0.5 * language_id.L1, 2 * language_id.L1, -1.0]])
     assert (language_id.weights(z, np.ones_like(z)) == 0).tolist() == [[True, False, False]]

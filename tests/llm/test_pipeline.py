@@ -35,7 +35,8 @@ def test_quality(spark, chain):
     labels = spark.read.parquet(f"{SF}/labels.parquet").where(learning.fold(F.col("doc_id"), 5) != 0)
     model = quality_mil.learn(chain[0], labels)
     docs = chain[0].collect()
-    p, _ = quality_mil.forward(model, *quality_mil.encode([(r.text or "").encode() for r in docs]))
+    x, begin, words, edges = quality_mil.encode([(r.text or "").encode() for r in docs])
+    p, _ = quality_mil.forward(model, x, begin, quality_mil.meanings(model[-1].astype(np.float32), words, edges))
     sure = np.abs(p - 0.3) > 1e-6
     kept = {tuple(r) for r in chain[1].collect()}
     assert all((tuple(r) in kept) == (s >= 0.3) for r, s, ok in zip(docs, p, sure, strict=True) if ok)
