@@ -68,3 +68,73 @@ def within_deviations(
     columns = list(columns)
     with_means = add_group_means(df, columns, group, row, split)
     return with_means.withColumns({f"{c}_within": F.col(c) - F.col(f"{c}_mean") for c in columns})
+
+
+# -- waves as bits ---------------------------------------------------------------------------
+#
+# A person's waves are a set of bits, so one row a person says who answered when. Persons with the
+# same pattern are one row from then on: sizes, histograms and years are sums over patterns.
+
+#: Years in one number.
+WORD = 62
+
+
+def wave_patterns(df: DataFrame, person: str = "pid", year: str = "syear") -> DataFrame:
+    """Rows (known, rows, first, waves, persons): how many persons have the same rows and the same years.
+
+    ``waves`` is a list of numbers whose bits are the years from ``first`` on, WORD a number. ``known`` is false for the rows
+    without a person, which count as one. A row without a year sets no bit. Years are looked for in the data; every row is
+    read once for that and once for the bits, and added up before the one shuffle by person.
+    """
+    first, last = df.agg(F.min(year), F.max(year)).first()
+    first, last = (first, last) if first is not None else (0, 0)
+    offset = F.col(year) - F.lit(first)
+    bits = [
+        F.bit_or(F.when((offset >= WORD * i) & (offset < WORD * (i + 1)), F.call_function("shiftleft", F.lit(1).cast("long"), (offset - WORD * i).cast("int"))))
+        for i in range((last - first) // WORD + 1)
+    ]
+    of_person = df.groupBy(person).agg(F.count("*").alias("rows"), F.array(*(F.coalesce(b, F.lit(0)) for b in bits)).alias("waves"))
+    return of_person.groupBy(F.col(person).isNotNull().alias("known"), "rows", "waves").agg(F.count("*").alias("persons")).select(
+        "known", "rows", F.lit(first).cast("int").alias("first"), "waves", "persons")
+
+
+def pattern_years(patterns: DataFrame) -> DataFrame:
+    """Years in which anyone has a row."""
+    place = F.explode(F.sequence(F.lit(0), F.size("waves") * WORD - 1))
+    bits = patterns.select("first", "waves", place.alias("at"))
+    there = F.call_function(
+        "shiftright", F.get("waves", F.floor(F.col("at") / WORD).cast("int")), (F.col("at") % WORD).cast("int")) % 2 == 1
+    return bits.where(there).select((F.col("first") + F.col("at")).alias("syear")).distinct()
+
+
+def pattern_size(patterns: DataFrame, waves: DataFrame | None = None) -> DataFrame:
+    """As ``panel_size``, from patterns; ``waves`` are the patterns whose years count as possible."""
+    weight = F.col("persons")
+    sizes = patterns.agg(
+        F.coalesce(F.sum(F.col("rows") * weight), F.lit(0)).alias("observations"),
+        F.coalesce(F.sum(F.when(F.col("known"), weight)), F.lit(0)).alias("individuals"),
+        (F.sum(F.col("rows") * weight) / F.sum(weight)).alias("mean_obs"),
+        F.min("rows").alias("min_obs"), F.max("rows").alias("max_obs"),
+    )
+    possible = pattern_years(patterns if waves is None else waves).agg(F.count("*")).scalar()
+    return sizes.withColumn("waves", possible).withColumn(
+        "balance", F.try_divide(F.col("observations"), F.col("individuals") * F.col("waves"))
+    )
+
+
+def pattern_histogram(patterns: DataFrame) -> DataFrame:
+    """As ``wave_histogram``, from patterns."""
+    known = patterns.where("known")
+    everyone = known.agg(F.sum("persons")).scalar()
+    return known.groupBy(F.col("rows").alias("waves")).agg(F.sum("persons").alias("persons")).select(
+        "waves", "persons", (F.col("persons") * 100 / everyone).alias("percent")
+    )
+
+
+def participation(patterns: DataFrame) -> DataFrame:
+    """Persons by pattern as text, a 1 for each year with a row and a 0 for one without, from the first year to the last."""
+    last = patterns.agg(F.max(F.aggregate(
+        F.transform("waves", lambda w, i: F.when(w > 0, i * WORD + F.length(F.bin(w)))), F.lit(0).cast("int"),
+        lambda a, b: F.greatest(a, b)))).scalar()
+    text = F.array_join(F.transform("waves", lambda w: F.reverse(F.lpad(F.bin(w), WORD, "0"))), "")
+    return patterns.where("known").groupBy(F.substring(text, F.lit(1), last).alias("pattern")).agg(F.sum("persons").alias("persons"))

@@ -1,11 +1,14 @@
 """Descriptive tables, shares, panel structure and single-variable statistics."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from panelweave.fixed_values import STATES
 from panelweave.operators import describe, panel, sample, shares
 from panelweave.operators.sample import PREFERENCE, REALIZATION, analysis_sample
 from panelweave.plans import master as plans
+from panelweave.session import stage
 from workload import inputs
 from workload.catalog import query, rounded
 from workload.frames import REGISTRY, STUDY_YEARS
@@ -185,6 +188,40 @@ def wave_histogram(spark, sf_dir):
     return first.unionByName(second)
 
 
+_STRUCTURE_SQL = " UNION ALL ".join(f"""
+    SELECT '{name}' AS stage, 'size' AS part, item, value FROM (
+      SELECT unnest(['observations', 'individuals', 'mean_obs', 'min_obs', 'max_obs', 'waves', 'balance']) AS item,
+             unnest([observations, individuals, mean_obs, min_obs, max_obs, waves, balance]) AS value FROM ({_size_sql(name, source)}))
+    UNION ALL SELECT '{name}', 'histogram', CAST(waves AS VARCHAR), CAST(persons AS DOUBLE) FROM ({_histogram_sql(name, source)})
+    UNION ALL SELECT '{name}', 'year', CAST(syear AS VARCHAR), NULL FROM (SELECT DISTINCT syear FROM {source})
+    UNION ALL SELECT '{name}', 'pattern', pattern, CAST(count(*) AS DOUBLE) FROM (
+      SELECT s.pid, string_agg(CASE WHEN p.pid IS NULL THEN '0' ELSE '1' END, '' ORDER BY y.syear) AS pattern
+      FROM (SELECT DISTINCT pid FROM {source}) s
+      CROSS JOIN (SELECT unnest(generate_series(min(syear), max(syear))) AS syear FROM {source}) y
+      LEFT JOIN (SELECT DISTINCT pid, syear FROM {source}) p ON p.pid = s.pid AND p.syear = y.syear GROUP BY s.pid)
+    GROUP BY pattern""" for name, source in (("Preference", "s1"), ("Realization", "s2")))
+
+
+@query("panel_structure", _STRUCTURE_SQL)
+def panel_structure(spark, sf_dir):
+    """Sizes, histogram, years and participation of both samples, all from patterns of waves."""
+    master, stages = _stages(spark, sf_dir)
+    possible = panel.wave_patterns(master)
+    parts = []
+    for name, df in stages.items():
+        patterns = stage(panel.wave_patterns(df), "patterns")
+        size = rounded(panel.pattern_size(patterns, possible), 6, "mean_obs", "balance")
+        items = F.array(*(F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in size.columns))
+        rows = {
+            "size": size.select(F.inline(items)),
+            "histogram": panel.pattern_histogram(patterns).select(F.col("waves").cast("string").alias("item"), F.col("persons").cast("double").alias("value")),
+            "year": panel.pattern_years(patterns).select(F.col("syear").cast("string").alias("item"), F.lit(None).cast("double").alias("value")),
+            "pattern": panel.participation(patterns).select(F.col("pattern").alias("item"), F.col("persons").cast("double").alias("value")),
+        }
+        parts += [df.select(F.lit(name).alias("stage"), F.lit(part).alias("part"), "item", "value") for part, df in rows.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def _five_sql(variable, source):
     quartiles = " ".join(
         f"UNION ALL SELECT {6 - 2 + i}, '{q}%', quantile_cont({variable}, {q / 100}) FROM {source}"
