@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from panelweave.fixed_values import STATES
 from panelweave.operators import describe, panel, sample, shares
+from panelweave.operators.quantiles import quantiles_by
 from panelweave.operators.sample import PREFERENCE, REALIZATION, analysis_sample
 from panelweave.plans import master as plans
 from panelweave.session import stage
@@ -239,6 +240,18 @@ def variable_quartiles(spark, sf_dir):
     return rounded(describe.five_numbers(inputs.panel(spark, sf_dir), "i11102"), 6, "value")
 
 
+CONTINUOUS = [v.name for v in VARIABLES if v.kind == "continuous"]
+
+
+@query("quartiles_by_year", " UNION ALL ".join(f"""
+    SELECT syear, variable, count(value) AS n, {q}::DOUBLE AS q, round(quantile_cont(value, {q}), 6) AS value
+    FROM ({long_sql('master', CONTINUOUS)}) WHERE value IS NOT NULL GROUP BY syear, variable""" for q in (0.1, 0.25, 0.5, 0.75, 0.9)))
+def quartiles_by_year(spark, sf_dir):
+    """Quantiles of every continuous variable in every year, exact, from two scans."""
+    found = quantiles_by(inputs.stored_master(spark, sf_dir), CONTINUOUS, (0.1, 0.25, 0.5, 0.75, 0.9), ["syear"])
+    return rounded(found, 6, "value")
+
+
 @query("stats_by_year", """
     SELECT syear, count(plh0173) AS n, round(avg(plh0173), 6) AS mean, round(stddev_samp(plh0173), 6) AS std
     FROM panel WHERE plh0173 IS NOT NULL GROUP BY syear""")
