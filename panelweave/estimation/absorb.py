@@ -29,9 +29,9 @@ from panelweave.estimation.fit import (
     ModelSpec,
     _inference,
     _inverse,
-    _parts,
     null_log_lik,
     tree_sum,
+    value_of,
 )
 from panelweave.session import staged
 
@@ -69,7 +69,7 @@ def fit_absorbed(table: DataFrame, spec: ModelSpec, cluster: str = "pid", catego
     """
     columns = [spec.outcome, *spec.regressors]
     narrow = table.where(F.col(category).isNotNull()).select(
-        F.col(cluster).alias("cluster"), F.col(category).alias("level"), F.array(*map(_value, columns)).alias("x"))
+        F.col(cluster).alias("cluster"), F.col(category).alias("level"), F.array(*map(value_of, columns)).alias("x"))
     order = [F.col("level"), F.xxhash64("cluster", "x")]  # a level with very many rows goes over several files
     with staged(narrow.repartitionByRange(*order).sortWithinPartitions("level"), "absorb") as rows:
         y = F.col("x")[0]
@@ -84,12 +84,6 @@ def fit_absorbed(table: DataFrame, spec: ModelSpec, cluster: str = "pid", catego
             return _Absorbed(rows, spec, levels).fit(start.select("level", F.lit(0.0).alias("effect")))
 
 
-def _value(name: str):
-    first, *mean = _parts(name)
-    value = F.col(first).cast("double")
-    return value - F.col(mean[0]).cast("double") if mean else value
-
-
 class _Absorbed:
     def __init__(self, rows: DataFrame, spec: ModelSpec, levels: int):
         self.rows, self.spec, self.levels, self.k = rows, spec, levels, len(spec.regressors)

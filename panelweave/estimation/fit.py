@@ -16,7 +16,7 @@ from math import ceil, erfc, exp, lgamma, log, pi, sqrt
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelweave.estimation import kernels
@@ -26,6 +26,8 @@ from panelweave.session import staged
 cloudpickle.register_pickle_by_value(kernels)
 
 MAX_STEPS = 200
+# steps after which separation is looked for; a fit without it takes about ten
+MANY_STEPS = 15
 # squared length of a Newton step in standard errors below which the step taken is the last
 DECREMENT = 1e-12
 MAX_CONDITION = 1e12
@@ -190,6 +192,13 @@ def _parts(name: str) -> tuple[str, ...]:
     return (name,) if base == name else (base, f"{base}_mean")
 
 
+def value_of(name: str) -> Column:
+    """A regressor or outcome as a number, ``<v>_within`` as the difference."""
+    first, *mean = _parts(name)
+    value = F.col(first).cast("double")
+    return value - F.col(mean[0]).cast("double") if mean else value
+
+
 def fit_models(
     table: DataFrame, specs: list[ModelSpec], cluster: str = "pid", category: str = "sector", by_cluster: bool = False
 ) -> list[Fit]:
@@ -242,7 +251,15 @@ def _fitted(rows, specs, cluster, category, used, differences, outcomes) -> list
     }
     # written as plain columns, which compress; packed on the way to Python
     packed = rows.select(F.array(*design.packed).alias("x"))
-    betas, sums, steps, condition = _newton(packed, design, equations, [s.label + s.number for s in specs])
+    def not_separated(moving):
+        """An error that names what separates the outcome of a model that does not converge."""
+        from panelweave.estimation.separation import find_separation
+
+        for m in moving:
+            if specs[m].link != "linear" and (found := find_separation(rows, specs[m], category)) is not None:
+                raise EstimationError(f"{specs[m].label}{specs[m].number}: the outcome is separated: {found}")
+
+    betas, sums, steps, condition = _newton(packed, design, equations, [s.label + s.number for s in specs], not_separated)
     # rows that follow each other in a file, and only they, have numbers that do
     file = F.shiftleft(F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 29)), 34)
     placed = rows.select(
@@ -274,13 +291,18 @@ def null_log_lik(n: float, ones: float) -> float:
     return float(sum(part * log(part / n) for part in (ones, n - ones) if part > 0))
 
 
-def _newton(rows, design, equations, names):
-    """Maximise every likelihood; models that have converged drop out of later passes."""
+def _newton(rows, design, equations, names, not_separated):
+    """Maximise every likelihood; models that have converged drop out of later passes.
+
+    ``not_separated`` is asked about models that take many steps or whose Hessian becomes singular on the way.
+    """
     betas = {m: np.zeros(e.size) for m, e in equations.items()}
     sums, steps, condition = {}, dict.fromkeys(equations, 0), {}
     best: dict[int, tuple] = {}
     moving, last = dict(equations), set()
-    for _ in range(MAX_STEPS):
+    for taken in range(MAX_STEPS):
+        if taken == MANY_STEPS:
+            not_separated(moving)
         at = {m: betas[m] for m in moving}
         sizes = {m: kernels.packed_size(e.size) for m, e in moving.items()}
         found = _add_up(rows.mapInArrow(kernels.likelihood_sums(design, moving, at), "sums binary"), sizes)
@@ -296,7 +318,12 @@ def _newton(rows, design, equations, names):
                 betas[m] = 0.5 * (betas[m] + best[m][1])  # overshot: halve the step
                 continue
             best[m] = (ll, betas[m])
-            inverse, condition[m] = _inverse(h, names[m])
+            try:
+                inverse, condition[m] = _inverse(h, names[m])
+            except EstimationError:
+                if taken:
+                    not_separated([m])
+                raise
             step = inverse @ gradient
             betas[m] = betas[m] + step
             steps[m] += 1

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from panelweave.estimation import report
 from panelweave.estimation.absorb import fit_absorbed
 from panelweave.estimation.fit import ModelSpec, fit_models, gram, null_log_lik
+from panelweave.estimation.separation import find_separation
 from panelweave.fixed_values import ACTUAL, CONTROLS, TIME_VARYING, WILLING
 from panelweave.functions import columns as C
 from panelweave.operators import panel, sample
@@ -254,6 +255,19 @@ def logit_sector_cells(spark, sf_dir):
     )
 
 
+@query("separation", """
+    SELECT t.term, 1.0::DOUBLE AS weight, count(*) FILTER (WHERE age >= 45) AS decided, count(*) AS n
+    FROM s1, (VALUES ('plh0173'), ('planted')) t(term) GROUP BY t.term""")
+def separation(spark, sf_dir):
+    """The sum of two regressors is the answer of everyone from 45 on and zero else; neither of them tells anything by itself."""
+    rows = _stage1(spark, sf_dir, "plh0173", "age", "plb0193_h")
+    answer = F.when(F.col("age") >= 45, 2 * F.col(WILLING) - 1).otherwise(0.0)
+    found = find_separation(rows.withColumn("planted", answer - F.col("plh0173")),
+                            ModelSpec("(1)", "Logit", "logit", WILLING, ("plh0173", "plb0193_h", "planted")))
+    terms = [(t, round(w, 3), found.rows, found.n) for t, w in found.weights.items()]
+    return spark.createDataFrame(terms, "term string, weight double, decided long, n long")
+
+
 # a logit fits the totals of every regressor over the positive answers exactly
 def _totals_sql(dummies):
     names = CONTROLS_SQL.split(", ")
