@@ -1,10 +1,11 @@
 """Codebook searches and variable profiles."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
-from panelweave.operators import codebook
+from panelweave.operators import codebook, label_index
 from panelweave.session import stage_folder
 from panelweave.sources import codebook as codebook_files
 from workload import inputs
@@ -30,6 +31,20 @@ def search_any_term(spark, sf_dir):
     return codebook.search_variables(frame(spark, sf_dir, "codebook_variables"), "red V12 promo", match_any=True)
 
 
+INDEXED = (("RING econ", False), ("red V12 promo", True), ("brush el", False), ("steel anodized tin", True))
+
+
+@query("search_index", " UNION ALL ".join(f"""
+    SELECT '{terms}' AS query, dataset, variable, label, label_de FROM codebook_variables
+    WHERE {(' OR ' if any_ else ' AND ').join(f"contains({TEXT_SQL}, '{t}')" for t in terms.lower().split())}""" for terms, any_ in INDEXED))
+def search_index(spark, sf_dir):
+    """Searches for all and for any of some words by the lists of their trigrams."""
+    folder = f"{stage_folder(spark)}/labels-{uuid.uuid4().hex}"
+    label_index.build(frame(spark, sf_dir, "codebook_variables"), folder)
+    found = [label_index.search(spark, folder, terms, match_any=any_).withColumn("query", F.lit(terms)) for terms, any_ in INDEXED]
+    return reduce(lambda a, b: a.unionByName(b), found).select("query", "dataset", "variable", "label", "label_de")
+
+
 @query("value_labels", """
     SELECT dataset, variable, value, label, label_de, CASE WHEN label <> '' THEN label ELSE label_de END AS shown
     FROM codebook_values""")
