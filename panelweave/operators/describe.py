@@ -152,12 +152,16 @@ def descriptive_table(first: DataFrame, second: DataFrame, registry: Registry) -
 def appendix_table(df: DataFrame, registry: Registry) -> DataFrame:
     """Valid n per variable and study year with mean and sd, and a last row of the largest n."""
     years = sorted(registry.study_years)
-    names = _known(df, registry)
+    return appendix_of(df, registry, years, count_by_year(df, _known(df, registry)), _cells(df, registry))
+
+
+def appendix_of(df: DataFrame, registry: Registry, years: list[int], counts: DataFrame, cells: DataFrame) -> DataFrame:
+    """The table from valid n by variable and year, and the cells of variables."""
     by_year = (
-        count_by_year(df, names).groupBy("variable").pivot("syear", list(years)).agg(F.sum("n"))
+        counts.groupBy("variable").pivot("syear", list(years)).agg(F.sum("n"))
         .select("variable", *[F.coalesce(F.col(str(y)), F.lit(0)).alias(f"n_{y}") for y in years])
     )
-    rows = variable_rows(df, registry).join(F.broadcast(_cells(df, registry).filter("n > 0")), "variable")
+    rows = variable_rows(df, registry).join(F.broadcast(cells.filter("n > 0")), "variable")
     rows = rows.join(F.broadcast(by_year), "variable")
     rows = rows.withColumns(_shown(rows, 3))
     columns = ["panel_no", "variable_no", "variable", *[f"n_{y}" for y in years], "n", "mean_text", "sd_text"]

@@ -61,6 +61,14 @@ def analysis_sample(master: DataFrame, design: SampleDesign) -> DataFrame:
     return complete_cases(model_columns(master).filter(design.condition()), design.required())
 
 
+def in_sample(design: SampleDesign) -> Column:
+    """Whether a row with model columns belongs to the analysis sample; null counts as no."""
+    out = design.condition()
+    for column in design.required():
+        out = out & F.col(column).isNotNull() & ~F.isnan(F.col(column).cast("double"))
+    return F.coalesce(out, F.lit(False))
+
+
 def funnel(df: DataFrame, steps: Mapping[str, Column]) -> DataFrame:
     """Rows left after each filter and rows it removed, all from one pass.
 

@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from panelweave.fixed_values import STATES
-from panelweave.operators import describe, panel, sample, shares
+from panelweave.operators import describe, panel, sample, shares, states
 from panelweave.operators.quantiles import quantiles_by
 from panelweave.operators.sample import PREFERENCE, REALIZATION, analysis_sample
 from panelweave.plans import master as plans
@@ -100,6 +100,32 @@ def descriptive_table(spark, sf_dir):
     )
 
 
+@query("descriptive_states", f"""
+    SELECT r.*, a.n AS n_1, a.mean_text AS mean_1, a.sd_text AS sd_1,
+           b.n AS n_2, b.mean_text AS mean_2, b.sd_text AS sd_2
+    FROM ({REGISTRY_SQL}) r JOIN ({cells_sql('s1', 2)}) a USING (variable) JOIN ({cells_sql('s2', 2)}) b USING (variable)
+    WHERE a.n > 0 OR b.n > 0""")
+def descriptive_states(spark, sf_dir):
+    """The descriptive table of both samples from one pass over the model frame."""
+    samples = {"Preference": sample.in_sample(PREFERENCE), "Realization": sample.in_sample(REALIZATION)}
+    return states.descriptive_table(inputs.model_frame(spark, sf_dir), samples, REGISTRY)
+
+
+@query("summary_states", " UNION ALL ".join(f"""
+    SELECT '{name}' AS sample, variable, syear, count(value) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd,
+           min(value) AS min, max(value) AS max FROM ({long_sql(source)}) GROUP BY variable, syear
+    UNION ALL SELECT '{name}', variable, NULL, n, round(mean, 6), round(sd, 6), min, max FROM ({summary_sql(source)})"""
+    for name, source in (("Preference", "s1"), ("Realization", "s2"))))
+def summary_states(spark, sf_dir):
+    """Totals and years of two samples, merged from the same states."""
+    samples = {"Preference": sample.in_sample(PREFERENCE), "Realization": sample.in_sample(REALIZATION)}
+    found = states.moment_states(inputs.model_frame(spark, sf_dir), NAMES, CATEGORICAL, samples)
+    years = states.summary(found, ["syear"])
+    seen = found.where("rows > 0").select("sample", "syear").distinct()
+    totals = states.summary(found).withColumn("syear", F.lit(None).cast("int"))
+    return rounded(years.join(seen, ["sample", "syear"], "left_semi").unionByName(totals), 6, "mean", "sd")
+
+
 _YEAR_N = ", ".join(
     f"CAST(coalesce(sum(n) FILTER (WHERE syear = {y}), 0) AS BIGINT) AS n_{y}" for y in STUDY_YEARS
 )
@@ -107,7 +133,7 @@ _YEAR_MAX = ", ".join(f"max(n_{y})" for y in STUDY_YEARS)
 _YEAR_COLUMNS = ", ".join(f"y.n_{y}" for y in STUDY_YEARS)
 
 
-@query("appendix_by_year", f"""
+_APPENDIX_SQL = f"""
     WITH rows_ AS (
       SELECT r.panel_no, r.variable_no, r.variable, {_YEAR_COLUMNS}, c.n, c.mean_text, c.sd_text
       FROM ({REGISTRY_SQL}) r JOIN ({cells_sql('master', 3)}) c USING (variable)
@@ -116,7 +142,16 @@ _YEAR_COLUMNS = ", ".join(f"y.n_{y}" for y in STUDY_YEARS)
             GROUP BY variable) y USING (variable)
       WHERE c.n > 0)
     SELECT * FROM rows_ UNION ALL
-    SELECT {len(REGISTRY.panels)}, 0, 'N', {_YEAR_MAX}, max(n), '--', '--' FROM rows_""")
+    SELECT {len(REGISTRY.panels)}, 0, 'N', {_YEAR_MAX}, max(n), '--', '--' FROM rows_"""
+
+
+@query("appendix_states", _APPENDIX_SQL)
+def appendix_states(spark, sf_dir):
+    """The appendix table from one pass."""
+    return states.appendix_table(inputs.master(spark, sf_dir), REGISTRY)
+
+
+@query("appendix_by_year", _APPENDIX_SQL)
 def appendix_by_year(spark, sf_dir):
     return describe.appendix_table(inputs.stored_master(spark, sf_dir), REGISTRY)
 
