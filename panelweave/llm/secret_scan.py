@@ -5,16 +5,20 @@ alphabet (chi-squared), no runs above or below the middle of the alphabet (runs
 and no link between neighbours (serial correlation). The three p-values are combined
 (Fisher) into one for "drawn evenly from its alphabet". Written language fails.
 
-False discoveries are held down in two ways:
+False discoveries are held down in two ways, over all tokens of a family (alphabet and
+length band):
 
-* Benjamini-Hochberg over all tokens of a family (alphabet and length band) finds those
-  that are not random. P-values count in steps of 1/1000 of a decade, rounded up, so the
-  counts that the procedure needs are a table of bounded size whatever the corpus.
-* A token counts as random only if an even draw from its alphabet is at least 1 / q times
-  as likely as ordinary text in the same alphabet: words, names, paths and numbers, in
-  which case and kind of sign seldom change, vowels and consonants alternate and letters
-  have the frequencies of language. By Markov's inequality such text reaches that ratio
-  with probability q at most, at any length and in a corpus of any size.
+* What is reported is controlled by e-values (the e-BH procedure). The e-value of a token is how
+  many times likelier an even draw from its alphabet is than ordinary text in the same
+  alphabet: words, names, paths and numbers, in which case and kind of sign seldom change, vowels
+  and consonants alternate and letters have the frequencies of language. Of such text the
+  mean e-value is 1. Of m tokens the k with the largest are reported, k the largest number with all of
+  them at m / (q k) or more; then ordinary text makes up a share q of the reported at most, on average. That depends on
+  the share of keys among tokens, not on the size of the corpus: a corpus written twice gives the same.
+* Of those, Benjamini-Hochberg on the battery's p-values takes out the ones that are not even.
+
+E-values count in steps of a tenth of their logarithm, rounded down, p-values in steps of 1/1000 of a decade,
+rounded up, so the counts that the procedures need are tables of bounded size whatever the corpus.
 
 Every step is a DataFrame expression. No text is cut, no token dropped.
 """
@@ -72,6 +76,33 @@ GROUPS = (("start", ""), ("lower", "vowel"), ("lower", "consonant"), ("upper", "
 FALSE_SHARE = 0.01
 STEPS = 1000
 LEAST_P = 1e-30
+#: Steps of the logarithm of an e-value, which is cut off at this size: no family needs more to report.
+E_STEPS, MOST_E = 10, 100
+#: Matches of a text that are gone through at a time.
+RUN = 256
+
+
+def scanned(parts: Column, zero: Column, step, nothing: Column, emit) -> Column:
+    """``emit(state before, x)``, an array, for each x of ``parts``, joined; the state goes on by ``step(state, x)``.
+
+    An array that grows by one is copied each time, so runs of RUN are gone through by themselves, from the state that
+    the runs before them leave: the work is in proportion to the number of parts.
+    """
+    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / RUN).cast("int")),
+                       lambda i: F.slice(parts, i * RUN + 1, F.lit(RUN)))
+
+    def within(start, run):
+        first = F.struct(start.alias("state"), nothing.alias("out"))
+        return F.aggregate(run, first, lambda acc, x: F.struct(
+            step(acc["state"], x).alias("state"), F.concat(acc["out"], emit(acc["state"], x)).alias("out")))["out"]
+
+    def joined(all_runs):
+        begins = F.struct(zero.alias("state"), F.array(zero).alias("at"))
+        starts = F.aggregate(all_runs, begins, lambda acc, run: let(F.aggregate(run, acc["state"], step), lambda state: F.struct(
+            state.alias("state"), F.concat(acc["at"], F.array(state)).alias("at"))))["at"]
+        return let(starts, lambda at: F.flatten(F.transform(all_runs, lambda run, i: within(F.get(at, i), run))))
+
+    return F.when(F.size(parts) > 0, let(runs, joined)).otherwise(nothing)
 
 
 def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
@@ -80,24 +111,48 @@ def spans(text: Column, pattern: str, kind: int, keep=None) -> Column:
     ``split`` gives what stands between the matches, so both lists together give the
     positions. Texts without a match skip both.
     """
-    nothing = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,hit:string>>")
-
-    def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
+    def emit(at, x):
+        start = at + F.length(x["gap"])
         hit = F.array(F.struct(
-            start.cast("bigint").alias("start"), F.lit(kind).alias("kind"), end.cast("bigint").alias("end"),
+            start.cast("bigint").alias("start"), F.lit(kind).alias("kind"), (start + F.length(x["hit"])).cast("bigint").alias("end"),
             x["hit"].alias("hit")))
-        kept = hit if keep is None else F.when(keep(x["hit"]), hit).otherwise(nothing)
-        return F.struct(end.cast("bigint").alias("at"), F.concat(acc["found"], kept).alias("found"))
+        return hit if keep is None else F.when(keep(x["hit"]), hit).otherwise(NOTHING())
 
     def walk(hits):
         gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(hits))
         parts = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-        start = F.struct(F.lit(0).cast("bigint").alias("at"), nothing.alias("found"))
-        return F.aggregate(parts, start, step)["found"]
+        ahead = lambda at, x: at + F.length(x["gap"]) + F.length(x["hit"])
+        return let(parts, lambda found: scanned(found, F.lit(0).cast("bigint"), ahead, NOTHING(), emit))
+
+    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), walk)).otherwise(NOTHING())
+
+
+def NOTHING() -> Column:  # noqa: N802
+    """No spans."""
+    return F.array().cast("array<struct<start:bigint,kind:int,end:bigint,hit:string>>")
 
-    return F.when(text.rlike(pattern), let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), walk)).otherwise(nothing)
+
+def free_of(tokens: Column, known: Column) -> Column:
+    """The tokens that overlap none of the known spans, by two passes over both in order of their starts.
+
+    From the left a token meets the furthest end of the spans that begin no later, from the right the nearest start of
+    those that begin later.
+    """
+    is_token = lambda s: s["kind"] == 3
+    one = lambda s, met: F.when(is_token(s) & ~met, F.array(s)).otherwise(NOTHING())
+
+    def from_left(both):
+        return scanned(both, F.lit(-1).cast("bigint"), lambda end, s: F.when(is_token(s), end).otherwise(F.greatest(end, s["end"])),
+                       NOTHING(), lambda end, s: one(s, end > s["start"]))
+
+    def from_right(both):
+        return scanned(both, F.lit(1 << 62).cast("bigint"), lambda start, s: F.when(is_token(s), start).otherwise(s["start"]),
+                       NOTHING(), lambda start, s: one(s, start < s["end"]))
+
+    # known spans sort before tokens that begin with them
+    left = let(F.array_sort(F.concat(known, tokens)), from_left)
+    right = let(left, lambda kept: let(F.reverse(F.array_sort(F.concat(known, kept))), from_right))
+    return F.when((F.size(known) == 0) | (F.size(tokens) == 0), tokens).otherwise(F.reverse(right))
 
 
 def known_spans(text: Column) -> Column:
@@ -276,6 +331,22 @@ def thresholds(tokens: DataFrame) -> dict[tuple[int, int], int]:
     }
 
 
+def e_step(evidence: Column) -> Column:
+    """Logarithm of an e-value in whole steps, rounded down."""
+    return F.floor(F.greatest(F.least(evidence, F.lit(float(MOST_E))), F.lit(-float(MOST_E))) * E_STEPS).cast("int")
+
+
+def e_thresholds(tokens: DataFrame) -> dict[tuple[int, int], int]:
+    """Per family the least step that e-BH reports: k is the largest rank whose e-value is m / (q k) or more. Families without one are left out."""
+    family = [F.col("alphabet"), band(F.col("n")).alias("band")]
+    counts = tokens.groupBy(*family, e_step(F.col("evidence")).alias("step")).agg(F.count("*").alias("tokens"))
+    group = Window.partitionBy("alphabet", "band")
+    ranked = counts.withColumn("m", F.sum("tokens").over(group)).withColumn("rank", F.sum("tokens").over(group.orderBy(F.desc("step"))))
+    enough = F.col("step") / E_STEPS >= F.log(F.col("m") / (FALSE_SHARE * F.col("rank")))
+    found = ranked.where(enough).groupBy("alphabet", "band").agg(F.min("step").alias("least"))
+    return {(r.alphabet, r.band): r.least for r in found.collect()}
+
+
 def scan(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = (), name: str = "secrets") -> DataFrame:
     """Rows (row, known, random): spans of known kinds and of random tokens, each (start, kind, end, hit).
 
@@ -284,22 +355,25 @@ def scan(docs: DataFrame, *, text: str = "text", carry: tuple[str, ...] = (), na
     empty result; equal rows get equal spans.
     """
     body = F.coalesce(docs[text], F.lit(""))
-    scanned = docs.select(packed(docs, *carry).alias("row"), known_spans(body).alias("known"),
-                          spans(body, TOKEN, 3).alias("tokens"))
-    free = F.filter("tokens", lambda t: ~F.exists("known", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    tested = scanned.select("row", "known", F.transform(free, lambda t: F.struct(
+    found = docs.select(packed(docs, *carry).alias("row"), known_spans(body).alias("known"),
+                        spans(body, TOKEN, 3).alias("tokens"))
+    free = free_of(F.col("tokens"), F.col("known"))
+    tested = found.select("row", "known", F.transform(free, lambda t: F.struct(
         t.alias("span"), battery(t["hit"]).alias("test"))).alias("tested"))
     tested = stage(tested, name)
     tokens = tested.select(F.explode("tested.test").alias("test")).select("test.*").where("alphabet is not null")
-    families = thresholds(tokens)
-    rules = {f"{a}:{b}": level for (a, b), level in families.items()}
+    uneven, likely = thresholds(tokens), e_thresholds(tokens)
+    rules = {f"{a}:{b}": (uneven[a, b], least) for (a, b), least in likely.items()}
     if not rules:
         return tested.select("row", "known", F.slice("known", 1, 0).alias("random"))
-    rule = F.create_map(*(F.lit(x) for pair in sorted(rules.items()) for x in pair))
+    rule = F.create_map(*(x for pair, (level, least) in sorted(rules.items()) for x in (
+        F.lit(pair), F.struct(F.lit(level).alias("level"), F.lit(least).alias("least")))))
 
     def random(t):
         test = t["test"]
-        level = F.element_at(rule, F.concat_ws(":", test["alphabet"].cast("string"), band(test["n"]).cast("string")))
-        return test["alphabet"].isNotNull() & (test["level"] < level) & (test["evidence"] >= -math.log(FALSE_SHARE))
+        own = F.element_at(rule, F.concat_ws(":", test["alphabet"].cast("string"), band(test["n"]).cast("string")))
+        # a family without a rule reports nothing
+        return test["alphabet"].isNotNull() & F.coalesce(
+            (test["level"] < own["level"]) & (e_step(test["evidence"]) >= own["least"]), F.lit(False))
 
     return tested.select("row", "known", F.transform(F.filter("tested", random), lambda t: t["span"]).alias("random"))
