@@ -74,7 +74,16 @@ class Registry:
     def from_json(cls, path: str, folder_key: str = "survey_dir") -> "Registry":
         """Load a study configuration file; ``folder_key`` names the entry of ``data`` with the folder of the files."""
         with open(path, encoding="utf-8") as handle:
-            doc = json.load(handle)
+            return cls.from_document(json.load(handle), folder_key, path)
+
+    @classmethod
+    def load(cls, spark, path: str, folder_key: str = "survey_dir") -> "Registry":
+        """The same, from any file that Spark can read."""
+        (row,) = spark.read.text(path, wholetext=True).collect()
+        return cls.from_document(json.loads(row.value), folder_key, path)
+
+    @classmethod
+    def from_document(cls, doc: dict, folder_key: str = "survey_dir", path: str = "the study configuration") -> "Registry":
         if folder_key not in doc.get("data", {}):
             raise KeyError(f"{path}: section data has no entry {folder_key!r} for the folder of the survey files")
 

@@ -118,6 +118,19 @@ def treatment_dummies(spark, sf_dir):
     return coded.select("pid", "syear", *[f"sector_{i}" for i in levels[1:]])
 
 
+@query("found_dummies", """
+    SELECT 'sector_' || CAST(sector AS INT) AS dummy, count(*) AS rows FROM master
+    WHERE sector > (SELECT min(sector) FROM master) GROUP BY sector""")
+def found_dummies(spark, sf_dir):
+    """Dummies of the levels that the data hold, the lowest left out, and the rows of each."""
+    master = inputs.stored_master(spark, sf_dir)
+    levels = derive.category_levels(master, "sector")
+    coded = derive.treatment_dummies(master, "sector")
+    names = [f"sector_{int(level)}" for level in levels[1:]]
+    sums = coded.agg(*[F.sum(n).cast("long").alias(n) for n in names])
+    return sums.select(F.inline(F.array(*[F.struct(F.lit(n).alias("dummy"), F.col(n).alias("rows")) for n in names])))
+
+
 STATE_CASE = "CASE " + " ".join(f"WHEN l11101 = {code} THEN '{name}'" for code, name, _ in STATES) + " END"
 
 

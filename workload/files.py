@@ -1,5 +1,6 @@
 """From survey files to tables: the derived datasets are written as CSV and read back the way a study reads its files."""
 
+import json
 import uuid
 from dataclasses import replace
 from functools import reduce
@@ -7,6 +8,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from panelweave.plans.master import build_master
+from panelweave.registry import Registry
 from panelweave.session import stage, stage_folder
 from panelweave.sources import tables, versions
 from workload.catalog import query
@@ -113,3 +115,20 @@ def refreshed_years(spark, sf_dir):
     by_year = versions.read(spark, path, version).groupBy("syear").agg(
         F.count("*").alias("persons"), F.count("plh0173").alias("answers"), F.sum("plh0173").alias("total"))
     return written.join(by_year, "syear").select("syear", "version", "persons", "answers", "total")
+
+
+@query("configured_study", "SELECT pid, syear, plh0173, CAST(CASE plb0193_h WHEN 1 THEN 2 WHEN 0 THEN 1 END AS DOUBLE) AS overtime FROM c_pl")
+def configured_study(spark, sf_dir):
+    """A study described by a JSON file of its own, read back and extracted: another folder entry, file name and recoding."""
+    source = _survey_files(spark, sf_dir, ["pl"])
+    study = {
+        "data": {"waves": source.survey_dir, "key_files": {"pl": "persons_long.csv"}},
+        "variables": {"answers": [{"name": "plh0173", "dataset": "pl", "label": "Hours"}, {"name": "overtime", "dataset": "pl", "label": "Overtime"}]},
+        "panels": [{"key": "answers", "label": "Answers"}],
+        "harmonize": [{"name": "overtime", "dataset": "pl", "label": "Overtime", "sources": [
+            {"variable": "plb0193_v1", "recode": {"1": 2, "2": 1}}, {"variable": "plb0193_v2", "recode": {"1": 2, "2": 1}}]}],
+    }
+    path = f"{source.survey_dir}/study"
+    spark.createDataFrame([(json.dumps(study, indent=1),)], "value string").coalesce(1).write.text(path)
+    registry = Registry.load(spark, path, folder_key="waves")
+    return tables.extract(spark, registry, "pl").select("pid", "syear", "plh0173", "overtime")
