@@ -30,7 +30,7 @@ SAMPLE = 12_000
 HIDDEN, GATE = 16, 8
 #: Rows of the table for words, as many for beginnings and for endings; letters of a beginning or ending.
 TABLE, GRAM = 1 << 13, 3
-ROUNDS, EPOCHS, BATCHES, LEAST_BATCH, RATE, DECAY = 4, 10, 8, 32, 0.02, 1e-4
+ROUNDS, EPOCHS, BATCHES, LEAST_BATCH, RATE, DECAY = 3, 8, 8, 32, 0.02, 1e-4
 #: Step of the table's rows and how they shrink.
 TABLE_RATE, TABLE_DECAY = 0.02, 1e-3
 SEED = 3
@@ -121,7 +121,9 @@ def meanings(table: np.ndarray, rows: np.ndarray, edges: np.ndarray) -> np.ndarr
     n = np.diff(edges)
     out = np.zeros((len(n), HIDDEN))
     if len(rows):
-        vectors = table[rows[:, 0]] + table[rows[:, 1]] + table[rows[:, 2]]
+        vectors = table.take(rows[:, 0], axis=0)
+        for i in (1, 2):
+            vectors += table.take(rows[:, i], axis=0)
         out[n > 0] = np.add.reduceat(vectors, edges[:-1][n > 0]) / n[n > 0, None]
     return out
 
@@ -179,7 +181,9 @@ class _Batch:
         self.share = 1.0 / np.maximum(n, 1)
 
     def table_gradient(self, dx: np.ndarray) -> np.ndarray:
-        return np.add.reduceat((dx * self.share[:, None])[self.passage], self.uses) if len(self.found) else np.zeros((0, HIDDEN))
+        if not len(self.found):
+            return np.zeros((0, HIDDEN), dtype=np.float32)
+        return np.add.reduceat((dx * self.share[:, None]).astype(np.float32).take(self.passage, axis=0), self.uses)
 
 
 def _fit(rows: pd.DataFrame, model: list[np.ndarray], round_: int) -> tuple[list[np.ndarray], int]:
@@ -191,7 +195,7 @@ def _fit(rows: pd.DataFrame, model: list[np.ndarray], round_: int) -> tuple[list
     batches = max(1, min(BATCHES, len(rows) // LEAST_BATCH))
     steps = [_Batch(bags[i::batches], y[i::batches]) for i in range(batches)]
     model = [p.copy() for p in model]
-    layers, table = model[:-1], model[-1]
+    layers, table = model[:-1], model[-1].astype(np.float32)
     first, second = [np.zeros_like(p) for p in layers], [np.zeros_like(p) for p in layers]
     seen = np.zeros(len(table))
     rate, t, draw = RATE / (1 + round_), 0, np.random.default_rng([SEED, round_, len(rows)])
@@ -211,7 +215,7 @@ def _fit(rows: pd.DataFrame, model: list[np.ndarray], round_: int) -> tuple[list
             # one step size a row; rows that are hardly used move less than the gradient's size would have them
             seen[step.found] += (g * g).mean(1)
             table[step.found] -= TABLE_RATE * (g / np.sqrt(seen[step.found] + 1e-8)[:, None] + TABLE_DECAY * table[step.found])
-    return model, len(rows)
+    return [*layers, table], len(rows)
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
