@@ -29,7 +29,10 @@ FEATURES = (
     "n_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "distinct_share",
     "capital_share", "mark_share", "digit_share", "words_a_line",
 )
+#: Quantiles of each feature that cuts lie between, as many again of rejected documents; conditions of a rule, and rules.
 CUTS, MOST_CONDITIONS, MOST_RULES = 24, 4, 12
+#: Values that the sketch for the most frequent one keeps track of.
+TRACKED = 4096
 LEAST_COVERED, LEAST_PRECISION = 3, 0.6
 
 
@@ -135,16 +138,25 @@ def _gain(hit: int, miss: int, hit0: int, miss0: int) -> float:
     return hit * (math.log2(hit / (hit + miss)) - math.log2(hit0 / (hit0 + miss0))) if hit else 0.0
 
 
-def learn(labelled: DataFrame, name: str = "rules") -> DecisionList:
-    """Learn from rows (key, features, good: boolean). Without a bad row the list is empty.
+def cuts_of(labelled: DataFrame) -> dict[str, list[float]]:
+    """Values of each feature that conditions may compare with, half way between neighbouring marks.
 
-    Cuts lie half way between neighbouring quantiles, so that a rule keeps its distance
-    from either side.
+    Marks are the most frequent value, quantiles of all others (a feature that is mostly zero would have one
+    quantile else), and quantiles of the bad rows, which may be few. A rule keeps its distance from either side.
     """
-    wanted = [i / CUTS for i in range(CUTS + 1)]
-    found = labelled.select(*(F.percentile_approx(f"features.{f}", wanted, 10_000).alias(f) for f in FEATURES)).first()
-    marks = {f: sorted(set(found[f] or ())) for f in FEATURES}
-    cuts = {f: [(a + b) / 2 for a, b in itertools.pairwise(values)] for f, values in marks.items()}
+    wanted = F.array(*(F.lit(i / CUTS) for i in range(CUTS + 1)))
+    top = labelled.select(*(F.expr(f"approx_top_k(features.{f}, 1, {TRACKED})").alias(f) for f in FEATURES)).first()
+    common = {f: top[f][0]["item"] if top[f] else None for f in FEATURES}
+    found = labelled.select(*(
+        F.percentile_approx(F.when(keep, F.col(f"features.{f}")), wanted, F.lit(10_000)).alias(f"{side} {f}")
+        for f in FEATURES for side, keep in (("other", F.col(f"features.{f}") != F.lit(common[f])), ("bad", ~F.col("good"))))).first()
+    marks = {f: sorted({*(found[f"other {f}"] or ()), *(found[f"bad {f}"] or ()), *([] if common[f] is None else [common[f]])}) for f in FEATURES}
+    return {f: [(a + b) / 2 for a, b in itertools.pairwise(values)] for f, values in marks.items()}
+
+
+def learn(labelled: DataFrame, name: str = "rules") -> DecisionList:
+    """Learn from rows (key, features, good: boolean). Without a bad row the list is empty."""
+    cuts = cuts_of(labelled)
 
     def passed(f: str) -> Column:
         return F.size(F.filter(F.array(*map(F.lit, cuts[f])).cast("array<double>"), lambda cut: F.col(f"features.{f}") > cut))

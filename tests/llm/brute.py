@@ -106,3 +106,52 @@ def mix_targets(sizes):
         if not over:
             return share
         full |= over
+
+
+def learn_rules(rows, cuts, most_conditions, most_rules, least_covered, least_precision):
+    """Sequential covering over rows (values by feature, pruning, good), every condition tried on every row.
+
+    Rules are tuples of (feature, above, cut).
+    """
+    import math
+
+    def covers(rule, values):
+        return all((values[f] > cut) == above for f, above, cut in rule)
+
+    def counts(rule, part):
+        bad = sum(covers(rule, v) and not good for v, _, good in part)
+        return bad, sum(covers(rule, v) and good for v, _, good in part)
+
+    rules, left = [], list(rows)
+    while len(rules) < most_rules:
+        growing, rule = [r for r in left if not r[1]], ()
+        while len(rule) < most_conditions:
+            bad0, good0 = counts(rule, growing)
+            if not bad0 or not good0:
+                break
+            best, most = None, 1e-9
+            for f, values in cuts.items():
+                for cut in values:
+                    for above in (False, True):
+                        bad, good = counts((*rule, (f, above, cut)), growing)
+                        gain = bad * (math.log2(bad / (bad + good)) - math.log2(bad0 / (bad0 + good0))) if bad else 0.0
+                        if gain > most:
+                            best, most = (f, above, cut), gain
+            if best is None:
+                break
+            rule += (best,)
+        if not rule:
+            break
+        held = [r for r in left if r[1]]
+
+        def worth(i, rule=rule, held=held):
+            bad, good = counts(rule[:i], held)
+            return (bad - good) / max(1, bad + good), bad, -i
+
+        best = max(range(1, len(rule) + 1), key=worth)
+        bad, good = counts(rule[:best], held)
+        if bad < least_precision * (bad + good) or not bad or counts(rule[:best], left)[0] < least_covered:
+            break
+        rules.append(rule[:best])
+        left = [r for r in left if not covers(rule[:best], r[0])]
+    return rules
