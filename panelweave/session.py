@@ -5,10 +5,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: Folder, below the shared one, of the run that is going on.
+_RUN: ContextVar[str] = ContextVar("run", default="")
 
 
 def local_session(app: str = "panelweave", cores: str = "*", **settings: str) -> SparkSession:
@@ -34,7 +37,33 @@ def stage_folder(spark: SparkSession) -> str:
     """The shared folder named by the session; where none is named, one under its warehouse."""
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
     folder = folder or spark.sparkContext.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages").rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/stages").rstrip("/") + _RUN.get()
+
+
+@contextmanager
+def owned_stages(spark: SparkSession) -> Iterator[None]:
+    """What is staged in the block belongs to it and is deleted at its end; what has to stay is written by ``kept``."""
+    outer = _RUN.set(f"{_RUN.get()}/run-{uuid.uuid4().hex}")
+    folder = stage_folder(spark)
+    try:
+        yield
+    finally:
+        _RUN.reset(outer)
+        delete_folder(spark, folder)
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` beside the folders of all runs and read it back."""
+    inner = _RUN.set("")
+    try:
+        return stage(df, name)
+    finally:
+        _RUN.reset(inner)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -59,5 +88,4 @@ def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     try:
         yield _written(df, path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_folder(spark, path)
