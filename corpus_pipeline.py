@@ -2,6 +2,10 @@
 
 Every stage works on all documents that the one before kept; its result is written and
 read again. All but the last return the columns of ``documents``; the last adds shard and slot.
+
+Null keys, null and empty texts, repeated rows, empty tables and columns of any name pass through every
+stage: documents without words are scored like others, are copies and leaks of nothing and stay in the
+mix; of rows equal in key and text one stays; a source may be null; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import functions as F
 from panelweave.llm import decontaminate, feistel, jaccard_forest, learning, mixing, quality_mil
 from panelweave.llm.common import table
 from panelweave.llm.queries import GOOD
-from panelweave.session import stage
+from panelweave.session import delete_folder, new_folder, owned_stages, written
 
 SHARDS = 24
 
@@ -60,7 +64,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage, as a written table.
+
+    What a stage writes on its way is deleted when its result is written, and that when the next one is.
+    """
+    docs, path = table(spark, sf_dir, "documents"), None
     for i, (_, step) in enumerate(STAGES):
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{i}")
+        before, path = path, new_folder(spark, f"pipeline-{i}")
+        with owned_stages(spark):
+            docs = written(step(spark, docs, sf_dir), path)
+        if before is not None:
+            delete_folder(spark, before)
     return docs
