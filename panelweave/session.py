@@ -42,7 +42,7 @@ def stage_folder(spark: SparkSession) -> str:
 
 @contextmanager
 def owned_stages(spark: SparkSession) -> Iterator[None]:
-    """What is staged in the block belongs to it and is deleted at its end; what has to stay is written by ``kept``."""
+    """What is staged in the block belongs to it and is deleted at its end; what has to stay is ``written`` to a folder named before."""
     outer = _RUN.set(f"{_RUN.get()}/run-{uuid.uuid4().hex}")
     folder = stage_folder(spark)
     try:
@@ -52,13 +52,8 @@ def owned_stages(spark: SparkSession) -> Iterator[None]:
         delete_folder(spark, folder)
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` beside the folders of all runs and read it back."""
-    inner = _RUN.set("")
-    try:
-        return stage(df, name)
-    finally:
-        _RUN.reset(inner)
+def new_folder(spark: SparkSession, name: str) -> str:
+    return f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
@@ -72,10 +67,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Used before loops over the same rows: it cuts the lineage, survives lost
     executors, and later passes read only the columns they name.
     """
-    return _written(df, f"{stage_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}")
+    return written(df, new_folder(df.sparkSession, name))
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
+def written(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -84,8 +79,8 @@ def _written(df: DataFrame, path: str) -> DataFrame:
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """The same, for rows that nobody reads after the block: the files are deleted at its end."""
     spark = df.sparkSession
-    path = f"{stage_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     try:
-        yield _written(df, path)
+        yield written(df, path)
     finally:
         delete_folder(spark, path)

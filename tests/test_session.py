@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from panelweave.session import CHECKPOINT_DIR, kept, owned_stages, stage, staged
+from panelweave.session import CHECKPOINT_DIR, new_folder, owned_stages, stage, staged, written
 
 
 def folders(spark):
@@ -12,12 +12,12 @@ def folders(spark):
 
 
 def test_a_run_leaves_what_it_keeps(spark):
-    before = folders(spark)
+    before, path = folders(spark), new_folder(spark, "result")
     with owned_stages(spark):
         rows = stage(spark.range(5), "inner")
         with owned_stages(spark):
             again = stage(rows, "deeper")
-            result = kept(again.union(rows), "result")
+            result = written(again.union(rows), path)
         assert rows.count() == 5
     left = folders(spark) - before
     assert len(left) == 1 and left.pop().startswith("result-") and result.count() == 10
