@@ -36,8 +36,7 @@ from panelweave.session import stage
 THRESHOLD = 0.8
 BITS, BLOCKS, BLOCK_RADIUS = 128, 16, 2
 RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
-#: A window at the threshold differs from its item in 19 bits on average, with a standard error of 4.
-CLOSE = 36
+# a window at the threshold differs from its item in 19 bits on average, with a standard error of 4
 LEAST_TABLE, MOST_TABLE = 20, 30
 SPAN = 1 << 15
 
@@ -191,7 +190,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: s
                          F.col("elements").alias("item_elements"), F.explode("keys").alias("item_block"))
     half = lambda c, at: F.conv(F.hex(F.substring(c, at, 8)), 16, -10).cast("long")
     differ = sum((F.bit_count(half("fingerprint", at).bitwiseXOR(half("item_fingerprint", at))) for at in (1, 9)), F.lit(0))
-    met = looked.join(filed, (F.col("n") == F.col("item_n")) & (F.col("block") == F.col("item_block"))).where(differ <= CLOSE)
+    met = looked.join(filed, (F.col("n") == F.col("item_n")) & (F.col("block") == F.col("item_block"))).where(differ <= RADIUS)
     shared = F.size(F.array_intersect("elements", "item_elements"))
     both = F.size("elements") + F.size("item_elements")
     matches = met.select("window", "n", "item", (shared / (both - shared)).alias("similarity")).where(
