@@ -299,7 +299,8 @@ def variants(docs: DataFrame, *, key: str = "doc_id", text: str = "text", edit:
     words = stage(counted.where((F.col("n") >= count) & (F.length("word") >= length)), f"{name}-words")
     near = near_words(words, classes=classes, living=living, name=name)
     best = near.groupBy("word").agg(
-        F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("rank"), F.col("near").alias("form"))).alias("best"))
+        # a set, of at most some thousands: blocks that share a number by chance would show a pair twice
+        F.size(F.collect_set("near")).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("rank"), F.col("near").alias("form"))).alias("best"))
     full = words.join(best, "word", "left")
     frequent = -F.col("best.rank") >= times * F.col("n")
     known = stage(full.select(
