@@ -163,7 +163,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: s
     and the number of windows at the threshold. A document with fewer shingles than the
     item is one window. Items and documents with fewer than five
     words have no shingle and match nothing. Null texts are empty. Rows that agree in key
-    and text are reported once; a repeated item identifier counts with each of its texts.
+    and text are reported once; a repeated item identifier counts with each of its texts. A null key is
+    reported like any other. Empty tables give an empty result; columns of any other name are not looked at.
     """
     spark = docs.sparkSession
     entries = benchmark.select(F.sum(F.regexp_count(F.lower(item_text), F.lit("[a-z0-9\\u0080-\\uffff]+"))).alias("n")).first().n or 0

@@ -211,7 +211,8 @@ def identify(docs: DataFrame, model: Model, *, text: str = "text", carry: tuple[
     """The carried columns as ``row``, with ``lang_pred`` and ``score``, the calibrated probability of it.
 
     Null texts and texts without a letter are "und" with score 0, as is every text if
-    nothing was learned.
+    nothing was learned. Rows that repeat each get the same answer; an empty table gives an empty result. Very long
+    texts are read as a whole.
     """
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)

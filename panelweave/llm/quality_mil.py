@@ -255,7 +255,7 @@ def score(docs: DataFrame, model: list[np.ndarray], *, text: str = "text", carry
     """The carried columns as ``row``, with ``score``: the probability of label 1, from all passages of the whole text.
 
     Null and empty texts are a bag with one empty passage and are scored like any other.
-    An empty table gives an empty result.
+    Rows that repeat each get the same score, whatever their key. An empty table gives an empty result.
     """
     held = docs.sparkSession.sparkContext.broadcast([p.astype(np.float32) if i == len(model) - 1 else p.astype(np.float64) for i, p in enumerate(model)])
     rows = docs.select(F.struct(*carry).alias("row"), docs[text].alias("text"))
