@@ -138,14 +138,23 @@ def _inverse(h: np.ndarray, what: str) -> tuple[np.ndarray, float]:
     return (lower.T @ lower) * np.outer(scale, scale), condition
 
 
+def _tasks(df: DataFrame) -> int | None:
+    """Number of tasks of a plan that exchanges nothing, which is known before it runs; None for others."""
+    execution = df._jdf.queryExecution()
+    return None if "Exchange" in execution.executedPlan().toString() else execution.toRdd().getNumPartitions()
+
+
 def tree_sum(partials: DataFrame) -> np.ndarray | None:
     """Sum of the arrays in ``sums`` (bytes of doubles, one row a task), None without rows.
 
-    Tasks hand their row to a few tasks that add them up, those to at most MOST_ADDED, and the driver adds what is left. The
-    order of adding is that of the tasks, so the same layout gives the same sum to the last bit.
+    Tasks hand their row to a few tasks that add them up, those to at most MOST_ADDED, and the driver adds what is left; it
+    adds the rows of that few tasks by itself. The order of adding is that of the tasks, so the same layout gives the same
+    sum to the last bit.
     """
-    adders = ceil(2 * sqrt(int(partials.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
-    for width in (adders, MOST_ADDED) if adders > MOST_ADDED else (adders,):
+    tasks = _tasks(partials)
+    adders = ceil(2 * sqrt(tasks or int(partials.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    levels = (adders, MOST_ADDED) if adders > MOST_ADDED else (adders,)
+    for width in () if tasks is not None and tasks <= MOST_ADDED else levels:
         numbered = partials.select(F.spark_partition_id().alias("task"), "sums")
         partials = numbered.repartition(width, F.pmod("task", F.lit(width))).sortWithinPartitions("task").mapInArrow(
             kernels.add_sums, "sums binary")
