@@ -175,12 +175,12 @@ def value_label_map_of_one(spark, sf_dir):
     SELECT doc_id::VARCHAR AS variable, length(coalesce(text, '')) AS letters, md5(coalesce(text, '')) AS label, coalesce(lang, '') AS label_de
     FROM documents""")
 def codebook_of_texts(spark, sf_dir):
-    """One large file whose labels are whole texts with line breaks, read by as many tasks as it has splits."""
+    """Files whose labels are whole texts with line breaks, written by as many tasks as read the texts, read by as many as they have splits."""
     folder = f"{stage_folder(spark)}/codebook-{uuid.uuid4().hex}"
     texts = table(spark, sf_dir, "documents").select(
         F.lit("s").alias("study"), F.lit("texts").alias("dataset"), F.lit("1").alias("version"),
         F.col("doc_id").cast("string").alias("variable"), "text", "lang")
-    writer = texts.coalesce(1).write.option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+    writer = texts.write.option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
     writer.option("ignoreTrailingWhiteSpace", False).option("emptyValue", "").csv(f"{folder}/texts_variables.csv")
     book = codebook_files.read_variables(spark, folder)
     return book.select("variable", F.length("label").cast("long").alias("letters"), F.md5("label").alias("label"), "label_de")
