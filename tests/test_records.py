@@ -71,3 +71,31 @@ def test_one_field_over_all_splits(spark, tmp_path, splits):
 def test_names_of_files(spark, tmp_path):
     (tmp_path / "a+b %c_values.csv").write_text("s,d,1,v,2,l,m\n")
     assert [r.source for r in codebook_files.read_values(spark, str(tmp_path)).collect()] == ["a+b %c"]
+
+
+def test_records_over_many_batches(spark, tmp_path, splits):
+    splits(1000)
+    table, text = wild_file(3, 200)
+    (tmp_path / "f_values.csv").write_text(text, newline="")
+    name, before = "spark.sql.execution.arrow.maxRecordsPerBatch", spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set(name, 3)
+    try:
+        book = codebook_files.read_values(spark, str(tmp_path)).orderBy("position").collect()
+    finally:
+        spark.conf.set(name, before)
+    assert [[r[f] for f in codebook_files.VALUE_FIELDS] for r in book] == table
+
+
+@pytest.fixture
+def plan(spark, tmp_path):
+    """The plan of a filter on scanned values."""
+    (tmp_path / "f_values.csv").write_text('s,d,1,v,2,"l\nl",m\ns,d,1,w,2\ns,d,1,v,3,n\n')
+    found = codebook_files.read_values(spark, str(tmp_path)).where("lower(variable) = 'v'")
+    assert [(r.value, r.label, r.label_de) for r in found.orderBy("position").collect()] == [("2", "l\nl", "m"), ("3", "n", "")]
+    return found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_files_go_through_the_kernel_twice_at_most_and_carry_no_paths(plan):
+    kernels = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert 1 <= len(kernels) <= 2
+    assert all("file" not in line for line in kernels)
