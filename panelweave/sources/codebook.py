@@ -24,8 +24,8 @@ def _scan(spark: SparkSession, glob: str, fields: tuple[str, ...], least: int, s
     """
     schema = ", ".join(f"{f} string" for f in (*fields, "_other"))
     options = {"quote": '"', "escape": '"', "columnNameOfCorruptRecord": "_other"}
-    rows = quoted_records(spark, glob).select("file", "position", F.from_csv("text", F.lit(schema), options).alias("row")).select(
-        "file", "position", "row.*")
+    # a generator parses a record once: filters are not pushed below it, where each would parse again
+    rows = quoted_records(spark, glob).select("file", "position", F.inline(F.array(F.from_csv("text", F.lit(schema), options))))
     commas = F.length(F.regexp_replace(F.regexp_replace("_other", QUOTED, ""), "[^,]+", ""))
     file = F.url_decode(F.replace(F.regexp_extract("file", "([^/]*)$", 1), F.lit("+"), F.lit("%2B")))
     return rows.filter(F.col("_other").isNull() | (commas + 1 >= least)).select(

@@ -95,6 +95,10 @@ def plan(spark, tmp_path):
     return found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
 
 
+def test_a_record_is_parsed_once(plan):
+    assert plan.count("from_csv(") == 1
+
+
 def test_files_go_through_the_kernel_twice_at_most_and_carry_no_paths(plan):
     kernels = [line for line in plan.splitlines() if "MapInArrow" in line]
     assert 1 <= len(kernels) <= 2
